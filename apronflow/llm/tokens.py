@@ -15,6 +15,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -119,7 +120,7 @@ def lists(ids: list[list[int]]) -> pa.Array:
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Batches of bounded text, so that memory follows neither the batch size nor the texts' lengths."""
     for b in batches:
-        size = np.asarray(pa.compute.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+        size = np.asarray(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
         group = np.cumsum(size) // chars
         at = np.r_[0, np.flatnonzero(np.diff(group)) + 1, b.num_rows]
         for i, j in zip(at, at[1:], strict=False):
