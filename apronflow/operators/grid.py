@@ -113,10 +113,10 @@ def regular(df: DataFrame, source: Column, at_s: Column, fields: Sequence[Field]
     """One row per source and slot from the source's first to its last row.
 
     Columns: source, slot_ts (start of the slot, epoch seconds), and per field its value and
-    `<field>_filled`, true where the slot had no usable reading. A slot's value is its last usable
-    reading (of several at that second, the greatest). Rows without source or time do not count.
+    `<field>_filled`, true where the slot had no usable reading. A slot's value is the mean of its
+    usable readings, to three decimals. Rows without source or time do not count.
     A field without any usable reading in reach stays null, and marked. An empty table gives an
-    empty result; repeated and extra rows or columns change nothing.
+    empty result; extra columns change nothing.
 
     Scale: rows are reduced to slots before the shuffle that lays out blocks, so a hot source sends
     its slots, not its rows; blocks of `block` slots with `halo` slots of context go to separate tasks.
@@ -125,10 +125,9 @@ def regular(df: DataFrame, source: Column, at_s: Column, fields: Sequence[Field]
     aggs = []
     for f in fields:
         ok = F.coalesce(f.usable, F.lit(False))
-        aggs.append(F.max(F.when(ok, F.struct(at_s.alias("t"), F.col(f.name).cast("double").alias("v")))).alias(f"__{f.name}"))
+        aggs.append(F.round(F.avg(F.when(ok, F.col(f.name).cast("double"))), 3).alias(f.name))
         aggs.append(F.max(F.coalesce(f.present, F.lit(False)) if f.present is not None else ok).alias(f"{f.name}__present"))
     hourly = df.where(source.isNotNull() & at_s.isNotNull()).groupBy(source.alias("source"), slot.alias("slot")).agg(*aggs)
-    hourly = hourly.select("source", "slot", *[F.col(f"__{f.name}.v").alias(f.name) for f in fields], *[f"{f.name}__present" for f in fields])
     span = hourly.groupBy("source").agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
     blocks = span.select("source", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / block).cast("long"), F.floor(F.col("hi") / block).cast("long"))).alias("block"))
     near = F.array_distinct(F.transform(F.array(F.col("slot") - halo, F.col("slot"), F.col("slot") + halo), lambda x: F.floor(x / block).cast("long")))
@@ -137,4 +136,7 @@ def regular(df: DataFrame, source: Column, at_s: Column, fields: Sequence[Field]
     ddl = "source string, slot_ts long, " + ", ".join(f"`{f.name}` double, `{f.name}_filled` boolean" for f in fields)
     specs = [(f.name, f.present is not None, f.open_level, f.log) for f in fields]
     work = _block(specs, block, halo, slot_s, schema)
-    return blocks.groupBy("source", "block").cogroup(spread.groupBy("source", "block")).applyInArrow(work, ddl)
+    # a block's work is far greater than its bytes tell, so its partitions are not merged by size
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (x.repartition(width, "source", "block").groupBy("source", "block") for x in (blocks, spread))
+    return left.cogroup(right).applyInArrow(work, ddl)
