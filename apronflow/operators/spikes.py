@@ -34,6 +34,8 @@ class Limits:
     low: float
     high: float
     least: float
+    #: Its values hold a level rather than a slope, so a reading beyond both neighbours is off by the lesser distance to them.
+    level: bool = False
 
 
 @dataclass(frozen=True)
@@ -45,13 +47,15 @@ class Rules:
     silence: int = 300
 
 
-def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: int) -> np.ndarray:
+def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: int, level: bool = False) -> np.ndarray:
     """How far width consecutive readings, beginning at each position, lie off the course around them.
 
     The course is told three ways: between the reading before and the one after, on from the two
-    before, and back from the two after. The distance is the least of those that exist, and 0 where
-    they disagree about its sign or either neighbour is more than a silence away. For two readings
-    it is the lesser of theirs.
+    before, and back from the two after. The distance is that from the first, unless the others lie
+    nearer (an ordinary bend of the course explains the reading from one side) by more than BEND
+    allows; with level, it is at least the lesser distance to both neighbours, if the reading lies
+    beyond both. (A slope's turning point, as in a go-around, lies beyond both and is no spike.) It is 0 where the ways disagree about its sign or a neighbour is more than a silence away. For
+    two readings it is the lesser of theirs.
     """
     n = len(t)
 
@@ -66,24 +70,31 @@ def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: i
         return np.zeros(0)
     (t1, v1), (t2, v2), (n1t, n1), (n2t, n2) = near(-1), near(-2), near(width), near(width + 1)
     worst = np.full(n, np.inf)
-    sign = None
+    up = None
     with np.errstate(all="ignore"):
         back, ahead = (v1 - v2) / (t1 - t2), (n2 - n1) / (n2t - n1t)
         back[~(t1 - t2 <= silence)] = np.nan
         ahead[~(n2t - n1t <= silence)] = np.nan
         for k in range(width):
             tk, vk = (t, v) if k == 0 else near(k)
-            off = np.stack([vk - (v1 + (n1 - v1) * (tk - t1) / (n1t - t1)), vk - (v1 + back * (tk - t1)), vk - (n1 + ahead * (tk - n1t))])
-            low, high = np.where(np.isnan(off), np.inf, off).min(0), np.where(np.isnan(off), -np.inf, off).max(0)
-            least = np.where((low > 0) | (high < 0), np.where(np.isnan(off), np.inf, np.abs(off)).min(0), 0)
+            between = vk - (v1 + (n1 - v1) * (tk - t1) / (n1t - t1))
+            off = np.stack([between, vk - (v1 + back * (tk - t1)), vk - (n1 + ahead * (tk - n1t))])
+            known = ~np.isnan(off)
+            agree = (np.where(known, off, np.inf).min(0) > 0) | (np.where(known, off, -np.inf).max(0) < 0)
+            least = np.where(agree, np.minimum(np.abs(between), np.where(known, np.abs(off), np.inf).min(0) / BEND), 0)
+            one, other = vk - v1, vk - n1
+            if level:
+                least = np.maximum(least, np.where(one * other > 0, np.minimum(np.abs(one), np.abs(other)), 0))
             inside = (tk - t1 <= silence) & (n1t - tk <= silence)
-            up = low > 0
-            least = np.where(inside & (True if sign is None else sign == up), least, 0)
-            sign = up if sign is None else sign
+            least = np.where(inside & (True if up is None else up == (between > 0)), least, 0)
+            up = between > 0 if up is None else up
             worst = np.minimum(worst, least)
     return worst
 
 
+#: Share of its distance from the line between its neighbours that a reading must keep from the lines on either side.
+BEND = 0.75
+
 #: States of the model: normal, spike, stuck, out of range.
 START = np.array([0.97, 0.01, 0.01, 0.01])
 MOVES = np.array([[0.988, 0.006, 0.001, 0.005], [0.60, 0.35, 0.01, 0.04], [0.03, 0.004, 0.962, 0.004], [0.88, 0.01, 0.01, 0.10]])
@@ -94,7 +105,8 @@ def emissions(score: np.ndarray, repeats: np.ndarray, outside: np.ndarray) -> np
     u = np.minimum(score, 3.0)
     normal = np.exp(-(u**2) / (2 * 0.2**2)) * np.where(repeats, 0.05, 0.95)
     spike = np.full(len(u), np.exp(-4.0)) * np.where(repeats, 0.5, 0.95)
-    stuck = np.where(repeats, 0.9, 1e-6)
+    # a stuck value departs from the course by and by; two equal values far off it are a spike
+    stuck = np.where(repeats, 0.9, 1e-6) * np.where(u > 0.5, 1e-4, 1.0)
     out = np.full(len(u), 1e-12)
     e = np.stack([normal, spike, stuck, out], 1) + 1e-30
     e[outside] = [1e-12, 1e-12, 1e-12, 1.0]
@@ -159,7 +171,7 @@ def flag(seg: np.ndarray, t: np.ndarray, v: np.ndarray, flying: np.ndarray, thre
     spiked = np.zeros(n, bool)
     for _ in range(6):  # a spike hides or feigns others beside it: the strongest go first, then the rest is judged anew
         s, ts, vs, th = seg[alive], t[alive], v[alive], threshold[alive]
-        one, two = course(s, ts, vs, rules.silence, 1) / th, course(s, ts, vs, rules.silence, 2) / th
+        one, two = (course(s, ts, vs, rules.silence, width, limit.level) / th for width in (1, 2))
         two[-1:] = 0
         paired = np.maximum(two, np.r_[0, two[:-1]])
         score = np.zeros(n)

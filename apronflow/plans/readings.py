@@ -13,8 +13,8 @@ from apronflow.sources.tables import readings, table
 SPIKE_RULES = spikes.Rules(
     (
         spikes.Limits("baro_alt_m", -500.0, 20_000.0, 500.0),
-        spikes.Limits("velocity_ms", 0.0, 400.0, 30.0),
-        spikes.Limits("vrate_ms", -100.0, 100.0, 15.0),
+        spikes.Limits("velocity_ms", 0.0, 400.0, 30.0, level=True),
+        spikes.Limits("vrate_ms", -100.0, 100.0, 15.0, level=True),
     )
 )
 
