@@ -52,27 +52,43 @@ def detect(readings: DataFrame) -> DataFrame:
     return found.groupBy("event_id").agg(F.min(F.struct("event_ts", *[c for c in rest if c != "event_ts"])).alias("x")).select("event_id", *[f"x.{c}" for c in rest])
 
 
-def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    flight = Flight.load(state.get[0]) if state.exists else Flight(key[0])
-    if state.hasTimedOut:
-        out = flight.lost()
-        state.remove()
-    else:
-        pings = [p for f in frames for r in f.to_dict("records") if (p := Ping.of(r)) is not None]
-        out = []
-        for p in sorted(pings, key=lambda p: p.ts):
-            out += flight.feed(p)
-        if flight.pings:
-            state.update((flight.dump(),))
-            state.setTimeoutDuration(LOST_S * 1000)
-    if out:
-        once = {e["event_id"]: e for e in reversed(out)}
-        frame = pd.DataFrame(list(once.values()))
-        frame["duration_s"] = frame["duration_s"].astype("Int32")
-        yield frame
-
-
-def detect_stream(messages: DataFrame) -> DataFrame:
-    """The streaming twin of detect: keyed state per aircraft, in update mode, lost after LOST_S of processing time."""
-    rows = messages.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("icao24", *MESSAGE)
-    return rows.groupBy("icao24").applyInPandasWithState(_advance, EVENTS_DDL, "flight string", "update", GroupStateTimeout.ProcessingTimeTimeout)
+def _advance(clock: str):
+    def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        flight = Flight.load(state.get[0]) if state.exists else Flight(key[0])
+        out: list[dict] = []
+        if state.hasTimedOut:
+            out = flight.lost()
+            state.remove()
+        else:
+            pings = [p for f in frames for r in f.to_dict("records") if (p := Ping.of(r)) is not None]
+            for p in sorted(pings, key=lambda p: p.ts):
+                out += flight.feed(p)
+            if flight.pings:
+                state.update((flight.dump(),))
+                if clock == "processing":
+                    state.setTimeoutDuration(LOST_S * 1000)
+                else:
+                    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, (flight.pings[-1].ts + LOST_S) * 1000))
+        if out:
+            once = {e["event_id"]: e for e in reversed(out)}
+            frame = pd.DataFrame(list(once.values()))
+            frame["duration_s"] = frame["duration_s"].astype("Int32")
+            yield frame
+
+    return work
+
+
+def detect_stream(messages: DataFrame, clock: str = "processing", lateness: str = "2 minutes") -> DataFrame:
+    """The streaming twin of detect: keyed state per aircraft, in update mode.
+
+    An aircraft is lost after LOST_S without a message: of processing time when live, or (clock
+    "event") of event time behind the watermark when a replay must end by itself.
+    """
+    if clock not in ("processing", "event"):
+        raise ValueError("clock must be processing or event")
+    rows = messages.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    if clock == "event":
+        rows = rows.withWatermark("api_time", lateness)
+    rows = rows.select("icao24", *MESSAGE, *(["api_time"] if clock == "event" else []))
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if clock == "processing" else GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy("icao24").applyInPandasWithState(_advance(clock), EVENTS_DDL, "flight string", "update", timeout)

@@ -43,13 +43,17 @@ def latest_positions(states: DataFrame, table: KeyedTable, checkpoint: str, ever
 
 
 def detected_events(states: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Events by event_id; an event told again only renews its duration and details."""
+    """Events by event_id; an event told again only renews its duration and details.
+
+    Without a trigger interval this is a replay that ends by itself, on the events' own clock.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         once = latest_per_key(batch, ["event_id"], [F.col("event_ts"), F.col("duration_s"), F.col("details")])
         table.upsert(once, batch_id)
 
-    return _trigger(detect_stream(states).writeStream.queryName("events").foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("update"), every).start()
+    found = detect_stream(states, "event" if every is None else "processing")
+    return _trigger(found.writeStream.queryName("events").foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("update"), every).start()
 
 
 def live_table(spark, path: str) -> KeyedTable:
