@@ -113,38 +113,53 @@ def emissions(score: np.ndarray, repeats: np.ndarray, outside: np.ndarray) -> np
     return e
 
 
-def posterior(seg: np.ndarray, e: np.ndarray, chunk: int = 128, halo: int = 24) -> np.ndarray:
+def posterior(seg: np.ndarray, e: np.ndarray, chunk: int = 64) -> np.ndarray:
     """Forward-backward probabilities of the states; sources are separate chains.
 
-    The chain is laid out in rows of chunk readings with halo readings of run-in on either side, and
-    all rows step together. Within the run-in the chain forgets where it began.
+    The chain is laid out in rows of chunk readings, and all rows step together: once with matrices,
+    which tell what a row makes of any message that enters it, and, when a pass over the rows has
+    told the messages, once with vectors. The result is exact.
     """
     n = len(seg)
     if not n:
         return np.zeros((0, 4))
     m = -(-n // chunk)
-    at = np.arange(m)[:, None] * chunk + np.arange(-halo, chunk + halo)[None, :]
-    inside = (at >= 0) & (at < n)
-    at = np.clip(at, 0, n - 1)
+    at = np.arange(m * chunk).reshape(m, chunk)
+    inside = at < n
+    at = np.minimum(at, n - 1)
     begins = np.r_[True, seg[1:] != seg[:-1]]
-    ends = np.r_[begins[1:], True]
     em = np.where(inside[:, :, None], e[at], 1.0)
-    first, last = (begins[at] & inside), (ends[at] & inside)
-    steps = at.shape[1]
-    forward, backward = np.empty((m, steps, 4)), np.empty((m, steps, 4))
-    a = np.tile(START, (m, 1))
-    for k in range(steps):
-        a = np.where(first[:, k, None], START, a @ MOVES) * em[:, k]
-        a /= a.sum(1, keepdims=True)
-        forward[:, k] = a
-    b = np.ones((m, 4))
-    for k in range(steps - 1, -1, -1):
-        b = np.where(last[:, k, None], 1.0, b)
-        backward[:, k] = b
-        b = (b * em[:, k]) @ MOVES.T
-        b /= b.sum(1, keepdims=True)
-    p = forward * backward
-    p = p[:, halo : halo + chunk].reshape(-1, 4)[:n]
+    first, last = begins[at] & inside, np.r_[begins[1:], True][at] & inside
+
+    def forward(x: np.ndarray, k: int) -> np.ndarray:
+        x = np.where(first[:, k, None, None], x.sum(2, keepdims=True) * START, x @ MOVES) * em[:, k, None, :]
+        return x / x.sum((1, 2), keepdims=True)
+
+    def entered(x: np.ndarray, k: int) -> np.ndarray:
+        """The message about the readings from k on, as it enters k: after a source's last reading it says nothing."""
+        return np.where(last[:, k, None, None], x.sum(1, keepdims=True), x)
+
+    def backward(x: np.ndarray, k: int) -> np.ndarray:
+        x = MOVES @ (em[:, k, :, None] * entered(x, k))
+        return x / x.sum((1, 2), keepdims=True)
+
+    through, back = np.tile(np.eye(4), (m, 1, 1)), np.tile(np.eye(4), (m, 1, 1))
+    for k in range(chunk):
+        through, back = forward(through, k), backward(back, chunk - 1 - k)
+    a, b = np.full((m, 1, 4), 0.25), np.full((m, 4, 1), 0.25)
+    for j in range(1, m):
+        x = a[j - 1, 0] @ through[j - 1]
+        a[j, 0] = x / x.sum()
+        x = back[m - j] @ b[m - j, :, 0]
+        b[m - j - 1, :, 0] = x / x.sum()
+    p = np.empty((m, chunk, 4))
+    for k in range(chunk):
+        a = forward(a, k)
+        p[:, k] = a[:, 0]
+    for k in range(chunk - 1, -1, -1):
+        p[:, k] *= entered(b, k)[:, :, 0]
+        b = backward(b, k)
+    p = p.reshape(-1, 4)[:n]
     return p / p.sum(1, keepdims=True)
 
 
