@@ -8,11 +8,15 @@ answers its own times alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from apronflow.operators import batches
+
 #: Seconds of a shard. Times are whole seconds and distinct, which bounds a shard's arrays.
 SHARD_S = 21_600
 #: Positions that the model may be off.
@@ -20,21 +24,45 @@ ERROR = 16
 
 
 class LinearIndex:
-    """A learned index over sorted distinct integers: segments of lines, each off by at most `error` positions."""
+    """A learned index over sorted distinct integers: segments of lines, each off by at most `error` positions.
+
+    begins (default: the first key) names keys at which a line must begin anew, so that many shards can
+    lie in one array. A stretch whose first and last key make a good enough line is one segment;
+    only the others are fitted key by key.
+    """
 
-    def __init__(self, keys: np.ndarray, error: int = ERROR) -> None:
+    def __init__(self, keys: np.ndarray, error: int = ERROR, begins: np.ndarray | None = None) -> None:
         self.keys, self.error = keys, error
-        first, slope, at = [], [], 0
         n = len(keys)
-        while at < n:
-            # the longest stretch from `at` on that one line through (keys[at], at) fits: the cone of slopes narrows with each key
+        begins = np.zeros(min(n, 1), np.int64) if begins is None else begins
+        ends = np.append(begins[1:], n)
+        first, slope = [begins], [np.zeros(len(begins))]
+        if n:
+            run = np.repeat(np.arange(len(begins)), ends - begins)
+            width = (keys[ends - 1] - keys[begins]).astype(np.float64)
+            slope[0] = np.divide(ends - 1 - begins, width, out=np.zeros(len(begins)), where=width > 0)
+            off = np.abs(slope[0][run] * (keys - keys[begins][run]) - (np.arange(n) - begins[run]))
+            bad = np.flatnonzero(np.maximum.reduceat(off, begins) > error)
+            for i in bad:
+                f, g = self._fit(int(begins[i]), int(ends[i]))
+                slope[0][i] = g[0]
+                first.append(f[1:])
+                slope.append(g[1:])
+        first, slope = np.concatenate(first), np.concatenate(slope)
+        order = np.argsort(first, kind="stable")
+        self.first, self.slope = first[order], slope[order]
+
+    def _fit(self, at: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Segments of keys[at:stop], each the longest that one line fits: with every key the cone of slopes narrows."""
+        first, slope = [], []
+        while at < stop:
             low, high, end, step = 0.0, np.inf, at + 1, 64
-            while end < n:
-                stop = min(n, end + step)
-                dx, dy = (keys[end:stop] - keys[at]).astype(np.float64), np.arange(end, stop) - at
-                lows, highs = np.maximum.accumulate(np.maximum((dy - error) / dx, low)), np.minimum.accumulate(np.minimum((dy + error) / dx, high))
+            while end < stop:
+                to = min(stop, end + step)
+                dx, dy = (self.keys[end:to] - self.keys[at]).astype(np.float64), np.arange(end, to) - at
+                lows, highs = np.maximum.accumulate(np.maximum((dy - self.error) / dx, low)), np.minimum.accumulate(np.minimum((dy + self.error) / dx, high))
                 bad = np.flatnonzero(lows > highs)
-                good = int(bad[0]) if len(bad) else stop - end
+                good = int(bad[0]) if len(bad) else to - end
                 if good:
                     low, high = lows[good - 1], highs[good - 1]
                 end += good
@@ -44,7 +72,7 @@ class LinearIndex:
             first.append(at)
             slope.append((low + high) / 2 if np.isfinite(high) else 0.0)
             at = end
-        self.first, self.slope = np.asarray(first, np.int64), np.asarray(slope)
+        return np.asarray(first, np.int64), np.asarray(slope)
 
     def position(self, wanted: np.ndarray) -> np.ndarray:
         """For each wanted value the number of keys below it: predicted, then searched for within the error."""
@@ -85,16 +113,28 @@ ANSWER = pa.schema([("entity", pa.string()), ("wanted_s", pa.int64()), ("match_s
 ANSWER_DDL = "entity string, wanted_s long, match_s long"
 
 
-def _answer(tolerance: int):
-    def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return ANSWER.empty_table()
-        keys = np.sort(np.asarray(right.column("time_s").to_numpy(), np.int64))
-        wanted = np.asarray(left.column("wanted_s").to_numpy(), np.int64)
-        found, reach = LinearIndex(keys).nearest(wanted, tolerance)
-        return pa.table({"entity": left.column("entity").filter(pa.array(reach)), "wanted_s": wanted[reach], "match_s": found[reach]}, schema=ANSWER)
+#: Width of a shard's place in an array of several; greater than any shard with its overlaps.
+STRIDE = 1 << 40
+
 
-    return work
+def _answer(tolerance: int):
+    def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        shard = np.zeros(table.num_rows, np.int64)
+        shard[starts[1:]] = 1
+        shard = np.cumsum(shard)
+        time, known = batches.integers(table, "time_s"), batches.flags(table, "known")
+        origin = time[starts][shard]
+        place = shard * STRIDE + STRIDE // 2 + (time - origin)
+        # distinct on either side, and a known time may stand in a shard twice only if the input repeats it
+        keys = np.unique(place[known])
+        begins = np.flatnonzero(np.r_[True, keys[1:] // STRIDE != keys[:-1] // STRIDE]) if len(keys) else np.zeros(0, np.int64)
+        asked = np.flatnonzero(~known)
+        found, reach = LinearIndex(keys, begins=begins).nearest(place[asked], tolerance)
+        asked, found = asked[reach], found[reach]
+        if len(asked):
+            yield batches.batch(ANSWER, entity=table.column("entity").take(pa.array(asked)).combine_chunks(), wanted_s=time[asked], match_s=time[asked] + (found - place[asked]))
+
+    return lambda incoming: batches.whole_groups(incoming, ("entity", "shard"), work)
 
 
 def nearest_times(left: DataFrame, right: DataFrame, tolerance: int, shard_s: int = SHARD_S) -> DataFrame:
@@ -113,5 +153,7 @@ def nearest_times(left: DataFrame, right: DataFrame, tolerance: int, shard_s: in
     known = right.where(F.col("entity").isNotNull() & F.col("time_s").isNotNull()).select("entity", "time_s").distinct()
     first, last = (F.floor((F.col("time_s") + d) / shard_s).cast("long") for d in (-tolerance, tolerance))
     known = known.withColumn("shard", F.explode(F.sequence(first, last)))
-    answers = wanted.groupBy("entity", "shard").cogroup(known.groupBy("entity", "shard")).applyInArrow(_answer(tolerance), ANSWER_DDL)
+    both = wanted.select("entity", "shard", F.col("wanted_s").alias("time_s"), F.lit(False).alias("known")).unionByName(known.withColumn("known", F.lit(True)))
+    laid = both.repartition("entity", "shard").sortWithinPartitions("entity", "shard")
+    answers = laid.mapInArrow(_answer(tolerance), ANSWER_DDL)
     return left.join(answers, ["entity", "wanted_s"])

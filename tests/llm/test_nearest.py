@@ -15,6 +15,15 @@ def test_index_is_exact_on_any_keys():
         assert (index.position(wanted) == np.searchsorted(keys, wanted)).all(), trial
 
 
+def test_shards_of_one_array():
+    rng = np.random.default_rng(5)
+    parts = [np.unique(rng.integers(0, 10**k, 300)) + (i << 40) for i, k in enumerate((3, 5, 7, 9))]
+    keys, begins = np.concatenate(parts), np.cumsum([0, *map(len, parts)])[:-1]
+    index = nearest.LinearIndex(keys, error=2, begins=begins)
+    wanted = np.concatenate([keys + d for d in (-3, -1, 0, 1, 7)])
+    assert (index.position(wanted) == np.searchsorted(keys, wanted)).all() and set(begins) <= set(index.first)
+
+
 def test_rows_equal_brute_force(spark):
     r = random.Random(1)
     left = [(i, r.choice("ab"), r.randrange(0, 80_000)) for i in range(400)] + [(900, None, 5), (901, "a", None), (902, "z", 5), (0, "a", 100), (0, "a", 100)]
