@@ -50,6 +50,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.`{c}`").alias(c) for c in df.columns])
 
 
+def greatest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key, the greatest by the columns of order and then by the others.
+
+    As latest_per_key where the order is of columns alone: one struct is both order and payload.
+    """
+    rest = [*order, *[c for c in df.columns if c not in keys and c not in order]]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"__best.`{c}`").alias(c) for c in df.columns])
+
+
 def write_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     """Idempotent load: replaces only the partitions that df has rows for."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from apronflow.functions import weather
 from apronflow.functions.common import half_up, mean, share, total
-from apronflow.operators.upsert import latest_per_key
+from apronflow.operators.upsert import greatest_per_key
 from apronflow.plans.marts import avg, half
 from apronflow.sources import views
 
@@ -24,8 +24,7 @@ def silver_ontime(bronze: DataFrame) -> DataFrame:
         F.col("Origin").alias("origin"), F.col("Dest").alias("dest"), F.col("CRSDepTime").alias("crs_dep_time"), measure("ArrDelay", "arr_delay_min"), measure("ArrDel15", "arr_del15"),
         measure("Cancelled", "cancelled"), F.nullif(F.col("CancellationCode"), F.lit("")).alias("cancellation_code"), measure("WeatherDelay", "weather_delay_min"), measure("NASDelay", "nas_delay_min"), "_ingest_ym",
     ).where(F.col("flight_date").isNotNull())
-    rest = [F.col(c) for c in typed.columns if c not in FLIGHT_KEY and c != "_ingest_ym"]
-    return latest_per_key(typed, FLIGHT_KEY, [F.col("_ingest_ym"), *rest]).withColumn("year", F.year("flight_date"))
+    return greatest_per_key(typed, FLIGHT_KEY, ["_ingest_ym"]).withColumn("year", F.year("flight_date"))
 
 
 def silver_metar(raw: DataFrame) -> DataFrame:
@@ -34,7 +33,7 @@ def silver_metar(raw: DataFrame) -> DataFrame:
         "station", F.try_to_timestamp("valid", F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz").alias("obs_ts"), weather.number(F.col("vsby")).alias("visibility_sm"),
         weather.ceiling_slots([F.col(f"skyc{i}") for i in range(1, 5)], [F.col(f"skyl{i}") for i in range(1, 5)]).alias("ceiling_ft"),
     ).where(F.col("obs_ts").isNotNull())
-    one = latest_per_key(obs, ["station", "obs_ts"], [F.col("visibility_sm"), F.col("ceiling_ft")])
+    one = greatest_per_key(obs, ["station", "obs_ts"], ["visibility_sm", "ceiling_ft"])
     return one.withColumn("flight_category", weather.category(F.col("ceiling_ft"), F.col("visibility_sm")))
 
 

@@ -127,7 +127,8 @@ def zipped_csv(spark: SparkSession, folder: str, columns: list[str], loaded: Dat
                         raise ValueError(f"{ym}: expected one CSV, found {len(names)}")
                     with z.open(names[0]) as handle:
                         for part in pd.read_csv(handle, dtype=str, keep_default_na=False, chunksize=50_000):
-                            yield part.reindex(columns=columns).assign(_ingest_ym=ym)
+                            whole = part.reindex(columns=columns).astype(object)
+                            yield whole.where(whole.notna(), None).assign(_ingest_ym=str(ym))
 
     ddl = ", ".join(f"`{c}` string" for c in [*columns, "_ingest_ym"])
     return found.select("_ingest_ym", "content").mapInPandas(unzip, ddl)

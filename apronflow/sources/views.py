@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from apronflow.functions import weather
 from apronflow.functions.common import ntz
 from apronflow.operators import keys
-from apronflow.operators.upsert import latest_per_key
-from apronflow.sources.tables import table
+from apronflow.operators.upsert import greatest_per_key, latest_per_key
+from apronflow.sources.tables import readings, table
 
 
 def flight_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,7 +22,7 @@ def flight_events(spark: SparkSession, folder: str) -> DataFrame:
         "event_id", keys.icao("icao24").alias("icao24"), F.nullif(F.trim("callsign"), F.lit("")).alias("callsign"), "event_type",
         keys.place("airport").alias("airport"), "event_ts", F.col("duration_s").cast("int").alias("duration_s"), "details", "detected_at",
     )
-    return latest_per_key(rows, ["event_id"], [F.col("detected_at"), F.col("callsign"), F.col("duration_s"), F.col("details")])
+    return greatest_per_key(rows, ["event_id"], ["detected_at", "callsign", "duration_s", "details"])
 
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,8 +55,6 @@ def weather_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 def live_states(spark: SparkSession, folder: str) -> DataFrame:
     """Latest position of each aircraft, as the guarded upsert leaves it."""
-    from apronflow.sources.tables import readings
-
     columns = ("callsign", "lat", "lon", "baro_alt_m", "on_ground", "velocity_ms", "track_deg", "vrate_ms", "category", "poll_ts", "delivery_id")
     rows = readings(table(spark, folder, "state_messages"), *columns).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     rows = rows.withColumn("callsign", F.nullif(F.trim("callsign"), F.lit("")))
