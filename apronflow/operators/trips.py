@@ -10,6 +10,7 @@ fragments into stays, and pairs consecutive stays into trips.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,8 +68,10 @@ def stopped(lat: np.ndarray, lon: np.ndarray, seg: np.ndarray, rule: Stay) -> tu
     return low & (extent <= rule.radius_m), slat, slon
 
 
-ITEMS = pa.schema([("icao24", pa.string()), ("t0", pa.int64()), ("t1", pa.int64()), ("n", pa.int32()), ("ground", pa.int32()), ("lat", pa.float64()), ("lon", pa.float64()), ("lat0", pa.float64()), ("lon0", pa.float64()), ("lat1", pa.float64()), ("lon1", pa.float64()), ("path_m", pa.float64()), ("still", pa.bool_())])
-ITEMS_DDL = "icao24 string, t0 long, t1 long, n int, ground int, lat double, lon double, lat0 double, lon0 double, lat1 double, lon1 double, path_m double, still boolean"
+#: Kinds of items: on the move, standing (or single), a way that no stay reaches over, and a settled stay.
+MOVE, STAND, WAY, STAY = range(4)
+ITEMS = pa.schema([("icao24", pa.string()), ("t0", pa.int64()), ("t1", pa.int64()), ("n", pa.int64()), ("ground", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("lat0", pa.float64()), ("lon0", pa.float64()), ("lat1", pa.float64()), ("lon1", pa.float64()), ("path_m", pa.float64()), ("pause", pa.int64()), ("kind", pa.int8())])
+ITEMS_DDL = "icao24 string, t0 long, t1 long, n long, ground long, lat double, lon double, lat0 double, lon0 double, lat1 double, lon1 double, path_m double, pause long, kind byte"
 
 
 def _fragments(rule: Stay):
@@ -120,10 +123,20 @@ def _fragments(rule: Stay):
         step[begin] = 0.0
         stand = kind[begin] == 1
         path = np.where(stand, 0.0, np.add.reduceat(step, begin))
-        yield batches.batch(
-            ITEMS, icao24=table.column("icao24").take(pa.array(row[begin])).combine_chunks(), t0=t[begin], t1=t[end], n=(end - begin + 1).astype(np.int32), ground=np.add.reduceat(ground.astype(np.int32), begin).astype(np.int32),
-            lat=mlat, lon=mlon, lat0=slat[begin], lon0=slon[begin], lat1=slat[end], lon1=slon[end], path_m=path, still=kind[begin] > 0,
-        )
+        gap = np.r_[0, np.diff(t)]
+        gap[begin] = 0
+        x = {
+            "t0": t[begin], "t1": t[end], "n": end - begin + 1, "ground": np.add.reduceat(ground.astype(np.int64), begin), "lat": mlat, "lon": mlon, "lat0": slat[begin], "lon0": slon[begin],
+            "lat1": slat[end], "lon1": slon[end], "path_m": path, "pause": np.maximum.reduceat(gap, begin), "kind": np.where(kind[begin] > 0, STAND, MOVE),
+        }
+        own = grp[begin]
+        groups = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        x = {k: v.tolist() for k, v in x.items()}
+        name = table.column("icao24").take(pa.array(row[begin[groups]])).to_pylist()
+        out: list[tuple] = []
+        for who, i, j in zip(name, groups.tolist(), [*groups[1:].tolist(), len(begin)], strict=True):
+            out += [(who, *r) for r in _settle(x, i, j, rule)]
+        yield batches.batch(ITEMS, **dict(zip(ITEMS.names, zip(*out, strict=True), strict=True)))
 
     return lambda incoming: batches.whole_groups(incoming, ("icao24", "block"), work)
 
@@ -140,52 +153,108 @@ FOUND = pa.schema([("icao24", pa.string()), ("kind", pa.string()), ("start_ts",
 FOUND_DDL = "icao24 string, kind string, start_ts long, end_ts long, distance_m double, lat double, lon double, readings long"
 
 
-def _stays(rule: Stay):
-    def walk(x: dict[str, list], i: int, j: int) -> list[tuple]:
-        """Stays among the items i..j of one source: (first item, last item, t0, t1, n, ground, lat, lon)."""
-        found, at = [], i
-        t0, t1, n, ground, lat, lon, still = (x[k] for k in ("t0", "t1", "n", "ground", "lat", "lon", "still"))
-        while at < j:
-            if not still[at]:
-                at += 1
-                continue
-            la, lo, count, on, last, strays = lat[at], lon[at], n[at], ground[at], at, 0
-            scale = 111_194.9 * np.cos(np.radians(la))
-            k = at + 1
-            while k < j and t0[k] - t1[k - 1] <= rule.silence_s:
-                there = still[k] and ((lat[k] - la) * 111_194.9) ** 2 + ((lon[k] - lo) * scale) ** 2 <= rule.radius_m**2
-                if there:
-                    total = count + n[k]
-                    la, lo = la + (lat[k] - la) * n[k] / total, lo + (lon[k] - lo) * n[k] / total
-                    count, on, last, strays = total, on + ground[k], k, 0
-                else:
-                    strays += n[k]
-                    if strays > rule.strays:
-                        break
-                k += 1
-            if t1[last] - t0[at] >= rule.least_s:
-                found.append((at, last, t0[at], t1[last], count, on, la, lo))
-                at = last + 1
+def _walk(x: dict[str, list], i: int, j: int, rule: Stay) -> list[tuple]:
+    """Stays among the items i..j: (first item, last item, n, ground, lat, lon); settled ones as they are."""
+    t0, t1, n, ground, lat, lon, kind = (x[k] for k in ("t0", "t1", "n", "ground", "lat", "lon", "kind"))
+    found, at = [], i
+    while at < j:
+        if kind[at] == STAY:
+            found.append((at, at, n[at], ground[at], lat[at], lon[at]))
+        if kind[at] != STAND:
+            at += 1
+            continue
+        la, lo, count, on, last, strays = lat[at], lon[at], n[at], ground[at], at, 0
+        scale = METRES_A_DEGREE * math.cos(math.radians(la))
+        k = at + 1
+        while k < j and kind[k] < WAY and t0[k] - t1[k - 1] <= rule.silence_s:
+            if kind[k] == STAND and ((lat[k] - la) * METRES_A_DEGREE) ** 2 + ((lon[k] - lo) * scale) ** 2 <= rule.radius_m**2:
+                count, on, last, strays = count + n[k], on + ground[k], k, 0
+                la, lo = la + (lat[k] - la) * n[k] / count, lo + (lon[k] - lo) * n[k] / count
             else:
-                at += 1
-        return found
+                strays += n[k]
+                if strays > rule.strays:
+                    break
+            k += 1
+        if t1[last] - t0[at] >= rule.least_s:
+            found.append((at, last, count, on, la, lo))
+            at = last + 1
+        else:
+            at += 1
+    return found
+
+
+def _settle(x: dict[str, list], i: int, j: int, rule: Stay) -> list[tuple]:
+    """A block's items with everything between its first and last break settled: stays, and ways between them."""
+    t0, t1, n, kind = x["t0"], x["t1"], x["n"], x["kind"]
+    fields = [x[k] for k in ITEMS.names[1:]]
+    out: list[tuple] = []
+    way: list[int] = []
+
+    def close() -> None:
+        """The items gathered in way as one."""
+        if way:
+            a, b = way[0], way[-1]
+            hops = sum(_hop(x, q - 1, q) for q in way[1:])
+            longest = max([*(x["pause"][q] for q in way), *(t0[q] - t1[q - 1] for q in way[1:])])
+            out.append((t0[a], t1[b], sum(n[q] for q in way), sum(x["ground"][q] for q in way), x["lat"][a], x["lon"][a], x["lat0"][a], x["lon0"][a], x["lat1"][b], x["lon1"][b], sum(x["path_m"][q] for q in way) + hops, longest, WAY))
+            way.clear()
+
+    def segment(a: int, b: int, settled: bool) -> None:
+        if not settled:
+            close()
+            out.extend(tuple(f[q] for f in fields) for q in range(a, b))
+            return
+        for first, last, count, on, la, lo in [*_walk(x, a, b, rule), (b, b, 0, 0, 0, 0)]:
+            way.extend(range(a, first))
+            if first < b:
+                if 2 * on > count:
+                    close()
+                    out.append((t0[first], t1[last], count, on, la, lo, x["lat0"][first], x["lon0"][first], x["lat1"][last], x["lon1"][last], 0.0, 0, STAY))
+                else:  # a stay in the air separates nothing
+                    way.extend(range(first, last + 1))
+            a = last + 1
+
+    begin, closed = i, False
+    for k in range(i, j):
+        if k > i and t0[k] - t1[k - 1] > rule.silence_s:
+            segment(begin, k, closed)
+            begin, closed = k, True
+        if kind[k] == MOVE and n[k] > rule.strays:
+            segment(begin, k, closed)
+            way.append(k)
+            begin, closed = k + 1, True
+    segment(begin, j, False)
+    close()
+    return out
 
+
+def _hop(x: dict[str, list], a: int, b: int) -> float:
+    """Metres from the end of one item to the beginning of another."""
+    north = (x["lat0"][b] - x["lat1"][a]) * METRES_A_DEGREE
+    east = (x["lon0"][b] - x["lon1"][a]) * METRES_A_DEGREE * math.cos(math.radians(x["lat1"][a]))
+    return math.hypot(north, east)
+
+
+METRES_A_DEGREE = EARTH_M * math.pi / 180
+
+
+def _stays(rule: Stay):
     def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         x = {f.name: table.column(f.name).to_pylist() for f in ITEMS}
         rows: list[tuple] = []
-        hop = metres(*(np.asarray(x[k], np.float64)[s] for k, s in (("lat1", slice(None, -1)), ("lon1", slice(None, -1)), ("lat0", slice(1, None)), ("lon0", slice(1, None)))))
-        travelled = np.cumsum(np.asarray(x["path_m"]) + np.r_[0.0, hop])
-        pause = np.r_[0, np.asarray(x["t0"])[1:] - np.asarray(x["t1"])[:-1]]
-        for i, j in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
             name, before = x["icao24"][i], None
-            for stay in walk(x, int(i), int(j)):
-                if 2 * stay[5] <= stay[4]:
+            for stay in _walk(x, i, j, rule):
+                first, last, count, on, la, lo = stay
+                if 2 * on <= count:
                     continue
-                if before is not None and pause[before[1] + 1 : stay[0] + 1].max() <= rule.silence_s:
-                    way = travelled[stay[0]] - travelled[before[1]]
-                    rows.append((name, "trip", before[3], stay[2], float(way), None, None, None))
-                rows.append((name, "stop", stay[2], stay[3], 0.0, stay[6], stay[7], stay[4]))
-                before = stay
+                if before is not None:
+                    between = range(before + 1, first + 1)
+                    if max(x["t0"][q] - x["t1"][q - 1] for q in between) <= rule.silence_s and max([0, *(x["pause"][q] for q in between[:-1])]) <= rule.silence_s:
+                        length = sum(_hop(x, q - 1, q) for q in between) + sum(x["path_m"][q] for q in between[:-1])
+                        rows.append((name, "trip", x["t1"][before], x["t0"][first], length, None, None, None))
+                rows.append((name, "stop", x["t0"][first], x["t1"][last], 0.0, la, lo, count))
+                before = last
         if rows:
             yield batches.batch(FOUND, **dict(zip(FOUND.names, zip(*rows, strict=True), strict=True)))
 
@@ -203,7 +272,8 @@ def stops_and_trips(readings: DataFrame, rule: Stay = Stay(), block_s: int = BLO
     nothing. Empty tables give empty results; extra columns are ignored.
 
     Scale: one exchange of the readings by (source, block), so a hot source is spread over its
-    blocks; what goes on is a few items per stop, and the walk over one source's items is sequential.
+    blocks. What goes on to a source's own task is bounded by its days and stops, not by its
+    readings: per block the items about its edges, and per stop two.
     """
     rows = readings.where(F.abs("lat").between(0, 90) & F.abs("lon").between(0, 180))
     rows = rows.select("icao24", F.floor(F.col("ts") / block_s).cast("long").alias("block"), "ts", "lat", "lon", "on_ground")
