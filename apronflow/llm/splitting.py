@@ -93,7 +93,8 @@ def split(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], rul
         if n - at <= most:
             break
         low, high = at + max(1, int(most * rule.fill)), at + most
-        a, b, c = np.searchsorted(where, [at + rule.overlap + 1, low, high + 1])
+        # the first piece must hold the overlap that the next one repeats
+        a, b, c = np.searchsorted(where, [at + 1 if at else rule.overlap, low, high + 1])
         best = -1
         for lo, hi, wanted in ((b, c, block), (b, c, None), (a, b, block), (a, b, None)):
             if lo < hi:
@@ -148,8 +149,8 @@ def pieces(documents: DataFrame, key: str = "doc_id", rule: Split = Split(), voc
     """The pieces of each document in order: key, piece, first_token, tokens, ids, text.
 
     A text of at most limit tokens is one piece. Longer ones are cut behind line ends: among those
-    that fill at least half of what a piece may newly take, behind block ends if there are any; at the
-    limit only where no line ends within reach. Every piece but the first repeats the last `overlap`
+    that fill at least half of what a piece may newly take, behind block ends if there are any; else
+    behind earlier ones; at the limit only where no line ends within reach. Every piece but the first repeats the last `overlap`
     tokens of the one before, and has at most limit tokens with them. Dropping the overlap and joining
     ids gives the document's ids. text is the ids' bytes; where the overlap begins within a
     character of several tokens, its torn bytes show as replacement characters, while ids are exact.
