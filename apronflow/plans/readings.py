@@ -141,4 +141,9 @@ SELECT DISTINCT src, icao24, hour_ts, CASE WHEN late <= 21600 THEN 'corrected' E
     "p7_found": f"""
 WITH {_MESSAGES}
 SELECT delivery_id FROM (SELECT delivery_id, min(delivery_id) OVER (PARTITION BY icao24, ts) AS kept FROM m) WHERE delivery_id <> kept""",
+    "p7_kept": """
+SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY icao24, ts ORDER BY delivery_id) AS k
+  FROM (SELECT lower(regexp_replace(icao24, '\\s', '', 'g')) AS icao24, CASE WHEN abs(api_ts) < 100000000000 THEN api_ts ELSE api_ts // 1000 END AS ts, delivery_id, batch_id, poll_ts, callsign, on_ground, category, """
+    + ", ".join(f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" for c in ("lon", "lat", "baro_alt_m", "velocity_ms", "track_deg", "vrate_ms"))
+    + """ FROM state_messages WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL)) WHERE k = 1""",
 }
