@@ -49,7 +49,8 @@ def dropped_copies(df: DataFrame, identifier: Sequence[str], row_id: str, order:
     for c in identifier:
         known = known & F.col(c).isNotNull()
     rows = df.where(known).select(*identifier, F.col(row_id).alias("__row"), *[c.alias(f"__o{i}") for i, c in enumerate(order or [])])
-    by = F.struct(*[F.col(f"__o{i}") for i in range(len(order or []))], F.col("__row"))
+    # without an order of its own the row id is the order, a plain number that the hash aggregation can hold
+    by = F.struct(*[F.col(f"__o{i}") for i in range(len(order))], F.col("__row")) if order else F.col("__row")
     kept = rows.groupBy(*identifier).agg(F.min_by("__row", by).alias("__kept"), F.count(F.lit(1)).alias("__copies"))
     twice = kept.where(F.col("__copies") > 1).drop("__copies")
     return rows.select(*identifier, "__row").join(twice, list(identifier)).where(F.col("__row") != F.col("__kept")).select(F.col("__row").alias(row_id))

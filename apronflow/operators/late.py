@@ -10,20 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_arrivals(df: DataFrame, identifier: Sequence[str], event: Column, arrival: Column, keys: Sequence[str]) -> DataFrame:
-    """One row per record: its keys, event time and first arrival. Rows without any of these are left out.
-
-    identifier, keys and the period are brought together by one exchange on keys and hour, under
-    which both this reduction and the versions below are local.
-    """
-    rows = df.select(*dict.fromkeys([*keys, *identifier]), event.alias("event_s"), arrival.alias("arrival_s"))
-    return rows.where(F.col("event_s").isNotNull() & F.col("arrival_s").isNotNull())
-
-
 def changes(records: DataFrame, identifier: Sequence[str], keys: Sequence[str], period: int = 3600, grace: int = 300, cutoff: int = 21_600) -> DataFrame:
     """The changelog of counts per key and period: keys, period_s, version, at_s, sign, n, late.
 
@@ -35,14 +25,14 @@ def changes(records: DataFrame, identifier: Sequence[str], keys: Sequence[str],
     with the retraction of a count of 0.
 
     The state of a key and period is bounded: records are first reduced per record, then to one row
-    per distinct arrival second, of which the lateness limit allows cutoff at most.
+    per distinct arrival second, of which the lateness limit allows cutoff at most. Both reductions
+    begin in each task before the shuffle, so many copies of one record cost one row each task.
     Nulls in keys group together; an empty table gives an empty changelog.
     """
     hour = F.floor(F.col("event_s") / period) * period
     by = [*keys, "period_s"]
     once = (
         records.withColumn("period_s", hour.cast("long"))
-        .repartition(*by)
         .groupBy(*by, *[c for c in identifier if c not in by])
         .agg(F.min("arrival_s").alias("arrival_s"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apronflow.operators import dedupe, grid, intervals, keys, late, spikes, trips
-from apronflow.sources.tables import readings, table
+from apronflow.sources.tables import distinct_readings, readings, table
 
 SPIKE_RULES = spikes.Rules(
     (
@@ -53,16 +53,16 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_trips(spark: SparkSession, folder: str) -> DataFrame:
     """All of it: with durations, distances and places."""
-    out = trips.stops_and_trips(readings(table(spark, folder, "state_messages"), "lat", "lon", "on_ground"))
+    out = trips.stops_and_trips(distinct_readings(table(spark, folder, "state_messages"), "lat", "lon", "on_ground"))
     return out.withColumn("duration_s", F.col("end_ts") - F.col("start_ts"))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return trips.stops_and_trips(readings(table(spark, folder, "state_messages"), "lat", "lon", "on_ground")).select("icao24", "kind", "start_ts", "end_ts")
+    return trips.stops_and_trips(distinct_readings(table(spark, folder, "state_messages"), "lat", "lon", "on_ground")).select("icao24", "kind", "start_ts", "end_ts")
 
 
 def p5_flags(spark: SparkSession, folder: str) -> DataFrame:
-    return spikes.implausible(readings(table(spark, folder, "state_messages"), "on_ground", "baro_alt_m", "velocity_ms", "vrate_ms"), SPIKE_RULES)
+    return spikes.implausible(distinct_readings(table(spark, folder, "state_messages"), "on_ground", "baro_alt_m", "velocity_ms", "vrate_ms"), SPIKE_RULES)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

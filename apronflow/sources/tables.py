@@ -28,3 +28,12 @@ def readings(messages: DataFrame, *columns: str) -> DataFrame:
         *[(keys.number(c) if kinds[c] in ("double", "float") else F.col(c)).alias(c) for c in columns],
     )
     return out.where(F.col("icao24").isNotNull() & F.col("ts").isNotNull())
+
+
+def distinct_readings(messages: DataFrame, *columns: str) -> DataFrame:
+    """readings with one row per (icao24, ts): copies, which agree, are reduced in each task before the shuffle.
+
+    Should copies differ after all, each column takes its greatest known value. Columns must be of
+    numbers or booleans, so that the aggregation is by hash.
+    """
+    return readings(messages, *columns).groupBy("icao24", "ts").agg(*[F.max(c).alias(c) for c in columns])
