@@ -35,6 +35,19 @@ def airports(chosen: Sequence[str] | None) -> list[str]:
     return out
 
 
+#: The time frames that a reader may name, in hours.
+FRAMES = {"3h": 3, "12h": 12, "24h": 24, "7d": 168}
+
+
+def frame_hours(name: str | None) -> int:
+    """Hours of a named time frame; without a name a day."""
+    if name is None:
+        return 24
+    if name not in FRAMES:
+        raise ValueError(f"time frame must be one of {tuple(FRAMES)}")
+    return FRAMES[name]
+
+
 def newest(df: DataFrame, ts: str) -> Column:
     """The relation's newest time as a scalar subquery."""
     return df.agg(F.max(ts)).scalar()
@@ -49,9 +62,9 @@ def _states(spark: SparkSession, folder: str) -> DataFrame:
     return s.withColumn("updated_at", F.timestamp_seconds("ts").cast("timestamp_ntz"))
 
 
-def positions(spark: SparkSession, folder: str, window_s: int = 300, airborne: bool = False) -> DataFrame:
-    """Where each aircraft heard of within window_s is, and how old that is."""
-    s = _states(spark, folder)
+def positions(spark: SparkSession, folder: str, window_s: int = 300, airborne: bool = False, ago_s: int = 0) -> DataFrame:
+    """Where each aircraft heard of within window_s is, and how old that is; ago_s seconds before the newest report."""
+    s = views.live_states(spark, folder, ago_s)
     now = newest(s, "ts")
     rows = s.where(F.col("ts") > now - window_s)
     rows = rows.where(~F.col("on_ground")) if airborne else rows
@@ -220,7 +233,7 @@ def staleness(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     **{f.__name__: f for f in (positions, conditions, alerts_active, freshness, pipeline_status, arrivals_15m, arrivals_hourly_rollup, airborne_hourly, airborne_gapfill, events_feed, wind_series, wind_scatter, quality_series, quality_report, impact_table, alert_annotations, alert_timeline, snapshot)},
-    "positions_airborne": lambda spark, folder: positions(spark, folder, 90, True),
+    "positions_airborne": lambda spark, folder: positions(spark, folder, 90, True, 16 * 3600),
     "events_feed_filtered": lambda spark, folder: events_feed(spark, folder, "holding", "KJFK", 200),
     "wind_scatter_ifr": lambda spark, folder: wind_scatter(spark, folder, 30, "IFR"),
     "dq_freshness": staleness,
@@ -228,7 +241,7 @@ QUERIES = {
 
 _W = views.with_views
 half = marts.half
-_POS = lambda w, more: f"""{_W('ls')}, n AS (SELECT max(ts) AS now FROM ls) SELECT icao24, callsign, lat, lon, baro_alt_m AS alt_m, velocity_ms AS vel_ms, on_ground, track_deg, vrate_ms, category, (now - ts)::INTEGER AS age_s FROM ls, n WHERE ts > now - {w} {more}"""
+_POS = lambda w, more, view="ls": f"""{_W(view)}, n AS (SELECT max(ts) AS now FROM {view}) SELECT icao24, callsign, lat, lon, baro_alt_m AS alt_m, velocity_ms AS vel_ms, on_ground, track_deg, vrate_ms, category, (now - ts)::INTEGER AS age_s FROM {view}, n WHERE ts > now - {w} {more}"""
 _A15 = lambda h: f"""{_W('ev')}, n AS (SELECT max(event_ts) AS now FROM ev), a15 AS (SELECT airport, time_bucket(INTERVAL 15 MINUTE, event_ts) AS bucket_ts, count(*) AS arrivals FROM ev, n WHERE event_type = 'arrival' AND airport IN ('KJFK', 'KLGA', 'KEWR') AND event_ts > now - INTERVAL {h} HOUR GROUP BY 1, 2)"""
 _AIR = f"""{_W('ev')}, n AS (SELECT max(event_ts) AS now FROM ev), ab AS (SELECT airport, date_trunc('hour', event_ts) AS bucket_ts, {half("coalesce(sum(duration_s) FILTER (event_type = 'holding'), 0) / 60.0::DOUBLE", 1)} AS holding_min,
   count(*) FILTER (event_type = 'go_around') AS go_arounds FROM ev, n WHERE event_type IN ('holding', 'go_around') AND airport IN ('KJFK', 'KLGA', 'KEWR') AND event_ts > now - INTERVAL 168 HOUR GROUP BY 1, 2)"""
@@ -238,7 +251,7 @@ _FEED = "SELECT event_id, icao24, callsign, event_type, airport, event_ts, durat
 
 SQL = {
     "positions": _POS(300, ""),
-    "positions_airborne": _POS(90, "AND NOT on_ground"),
+    "positions_airborne": _POS(90, "AND NOT on_ground", "lp"),
     "conditions": f"{_W('ob')} SELECT station, obs_ts, temp_c, wind_speed_kmh, wind_gust_kmh, wind_dir_deg, visibility_m, ceiling_ft, flight_category, text_desc FROM ob QUALIFY row_number() OVER (PARTITION BY station ORDER BY obs_ts DESC) = 1",
     "alerts_active": f"{_W('al')}, n AS (SELECT max(effective_ts) - INTERVAL 24 HOUR AS t FROM al) SELECT al.* FROM al, n WHERE effective_ts <= t AND (ends_ts IS NULL OR ends_ts > t)",
     "freshness": f"{_FRESH} SELECT * FROM f",

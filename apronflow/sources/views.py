@@ -53,11 +53,12 @@ def weather_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(F.col("alert_id").isNotNull() & F.col("airport").isNotNull() & F.col("effective_ts").isNotNull()).distinct()
 
 
-def live_states(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest position of each aircraft, as the guarded upsert leaves it."""
+def live_states(spark: SparkSession, folder: str, ago_s: int = 0) -> DataFrame:
+    """Latest position of each aircraft, as the guarded upsert leaves it; ago_s seconds before the newest report."""
     columns = ("callsign", "lat", "lon", "baro_alt_m", "on_ground", "velocity_ms", "track_deg", "vrate_ms", "category", "poll_ts", "delivery_id")
     rows = readings(table(spark, folder, "state_messages"), *columns).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     rows = rows.withColumn("callsign", F.nullif(F.trim("callsign"), F.lit("")))
+    rows = rows.where(F.col("ts") <= rows.agg(F.max("ts")).scalar() - ago_s) if ago_s else rows
     return latest_per_key(rows, ["icao24"], [F.col("ts"), F.col("poll_ts"), -F.col("delivery_id")])
 
 
@@ -136,6 +137,10 @@ SQL = {
     + " FROM orders)",
 }
 
+#: ls as it was 16 hours before the newest report.
+_PAST = "WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)"
+SQL["lp"] = SQL["ls"].replace("ls AS", "lp AS", 1).replace(_PAST, f"{_PAST} AND CASE WHEN api_ts < 100000000000 THEN api_ts ELSE api_ts // 1000 END <= (SELECT max(CASE WHEN api_ts < 100000000000 THEN api_ts ELSE api_ts // 1000 END) - 57600 FROM state_messages {_PAST})")
+
 
 def with_views(*names: str) -> str:
     """The WITH clause's beginning, with the named relations."""

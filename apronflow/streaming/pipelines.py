@@ -62,3 +62,13 @@ def live_table(spark, path: str) -> KeyedTable:
 
 def events_table(spark, path: str) -> KeyedTable:
     return KeyedTable(spark, path, EVENTS_DDL, lambda held, batch: overwrite(held, batch, ["event_id"], UPDATED))
+
+
+def start_all(states: DataFrame, root: str, every: tuple[str | None, str | None, str | None] = ("60 seconds", "10 seconds", "30 seconds")) -> list[StreamingQuery]:
+    """The three streams side by side, each with its own checkpoint under root."""
+    spark, root = states.sparkSession, root.rstrip("/")
+    return [
+        archive(states, f"{root}/archive", f"{root}/checkpoints/archive", every[0]),
+        latest_positions(states, live_table(spark, f"{root}/live"), f"{root}/checkpoints/live", every[1]),
+        detected_events(states, events_table(spark, f"{root}/events"), f"{root}/checkpoints/events", every[2]),
+    ]

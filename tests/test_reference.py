@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from apronflow.functions import geo, weather
 from apronflow.operators import quality, upsert
 from apronflow.plans import lake, serving
-from apronflow.sources import envelope
+from apronflow.sources import envelope, exports
 from apronflow.streaming import pipelines, retractions
 
 MILE = 1609.344
@@ -105,6 +105,39 @@ def test_month_archives(spark, tmp_path):
     assert envelope.months("1999-11", "2000-02") == ["1999-11", "1999-12", "2000-01", "2000-02"] and envelope.decades(1987, 2003) == [(1987, 1996), (1997, 2003)]
 
 
+def test_exports_come_back(spark, tmp_path):
+    gold = spark.createDataFrame([("2001-09-11", "JFK", 12, 3.5, None), ("2001-09-12", "LGA", None, None, "IFR")], "flight_date string, airport string, cancelled int, avg_arr_delay_min double, worst_category string")
+    seen, rows = exports.counted(gold, "gold", without_category=F.col("worst_category").isNull())
+    exports.export_csv(seen, str(tmp_path / "gold"))
+    assert rows.get == {"rows": 2, "without_category": 1}
+    back = exports.read_gold_csv(spark, str(tmp_path / "gold"))
+    assert dict(back.dtypes)["cancelled"] == "bigint" and sorted((str(r.flight_date), r.cancelled, r.avg_arr_delay_min, r.worst_category) for r in back.collect()) == [("2001-09-11", 12, 3.5, None), ("2001-09-12", None, None, "IFR")]
+    told = exports.publish_json({"gold": gold, "bad": gold.select(F.raise_error(F.lit("no")).alias("x"))}, str(tmp_path / "json"))
+    assert told["gold"] == "written" and told["bad"].startswith("failed") and spark.read.json(str(tmp_path / "json" / "gold")).count() == 2
+
+
+def test_reported_arrivals(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"icao24":" AB ","airport":"KJFK","lastSeen":100,"callsign":" "}\n{"icao24":null,"lastSeen":1}\n{"icao24":"c","firstSeen":1}\n')
+    got = exports.read_arrivals(spark, str(tmp_path)).collect()
+    assert len(got) == 1 and got[0].icao24 == "ab" and got[0].callsign is None and got[0].first_seen == got[0].est_arrival_ts
+
+
+def test_time_frames():
+    assert serving.frame_hours("7d") == 168 and serving.frame_hours(None) == 24
+    with pytest.raises(ValueError):
+        serving.frame_hours("2y")
+
+
+def test_three_streams_side_by_side(spark, tmp_path):
+    rows = [(3, 600 + 60 * t, "a", None, -73.7781, 40.6413 + 0.01 * max(0, 5 - t), 600.0 - 100 * t if t < 6 else None, t >= 6, 70.0, 200.0, -4.0, None) for t in range(8)]
+    spark.createDataFrame(rows + rows[:2], envelope.ENVELOPE).coalesce(1).write.parquet(str(tmp_path / "in"))
+    for q in pipelines.start_all(envelope.files(spark, str(tmp_path / "in")), str(tmp_path / "out"), (None, None, None)):
+        q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out" / "archive")).count() == 8
+    assert [r.on_ground for r in pipelines.live_table(spark, str(tmp_path / "out" / "live")).read().collect()] == [True]
+    assert [r.event_type for r in pipelines.events_table(spark, str(tmp_path / "out" / "events")).read().collect()] == ["arrival"]
+
+
 def test_tracks(spark, tmp_path):
     (tmp_path / "t.json").write_text('{"icao24":"a","api_ts":5,"poll_ts":9}\nrubbish\n\n{"icao24":"a","api_ts":3,"poll_ts":9}\n{"api_ts":1}\n')
     assert [[p.api_ts for p in r.pings] for r in envelope.tracks(spark, str(tmp_path)).collect()] == [[3, 5]]
