@@ -241,7 +241,7 @@ def _survey(rules: Rules):
         for f, limit in enumerate(rules.fields):
             v = batches.doubles(table, limit.name)
             with np.errstate(invalid="ignore"):
-                idx = np.flatnonzero(once & np.isfinite(v))
+                idx = np.flatnonzero(once & ~np.isnan(v))
                 ok = idx[(v[idx] >= limit.low) & (v[idx] <= limit.high)]
             g, ts, vs, fl = grp[ok], t[ok], v[ok], flying[ok]
             if len(ok) > 2:
@@ -350,7 +350,7 @@ def _judge(rules: Rules):
         out: dict[str, list] = {k: [] for k in ("row", "field", "value", "reason", "probability")}
         for f, limit in enumerate(rules.fields):
             v = batches.doubles(table, limit.name)
-            own = np.flatnonzero(once & np.isfinite(v))
+            own = np.flatnonzero(once & ~np.isnan(v))
             foreign = [(i, p) for i in range(m) for p in around[i][2 * f : 2 * f + 2] if p.shape[1]]
             seg = np.concatenate([grp[own], *[np.full(p.shape[1], i) for i, p in foreign]])
             ts = np.concatenate([t[own], *[p[0].astype(np.int64) for _, p in foreign]])
@@ -378,8 +378,8 @@ def implausible(readings: DataFrame, rules: Rules, block_s: int = BLOCK_S) -> Da
     """Implausible readings: icao24, ts, field, value, reason (spike, stuck, impossible), probability.
 
     readings: icao24, ts, on_ground and the fields, as sources.tables.readings gives them; copies of
-    one (icao24, ts) agree and count once. Null and NaN values are missing and never flagged; a null
-    on_ground counts as on the ground, where values may repeat. A source with fewer than three
+    one (icao24, ts) agree and count once. Null and NaN values are missing and never flagged, infinite
+    ones are impossible; a null on_ground counts as on the ground, where values may repeat. A source with fewer than three
     readings has no course, hence no spikes. A reading that is both impossible and stuck is given as
     impossible. Empty tables give empty results; extra columns are ignored.
 

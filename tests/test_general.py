@@ -154,6 +154,7 @@ def test_flags(spark):
     raw[91][4] -= 75
     raw[150][5] = 250.0
     raw[160][3] = -9999.0
+    raw[170][4] = float("inf")
     raw[10][3] = None
     raw[11][4] = float("nan")
     for i in range(200, 212):
@@ -162,7 +163,7 @@ def test_flags(spark):
         raw[i][3] = raw[300][3]  # seven are too few
     raw += [[None, 1, False, 1.0, 1.0, 1.0], ["b", 0, False, 99_999.0, None, None], ["c", 0, None, None, None, None]]
     df = spark.createDataFrame([tuple(x) for x in raw + raw[40:60]], MEASURED).where("icao24 IS NOT NULL").withColumn("block", F.lit("clash")).repartition(4)
-    want = [("a", 50 * 30, "baro_alt_m", "spike"), ("a", 90 * 30, "velocity_ms", "spike"), ("a", 91 * 30, "velocity_ms", "spike"), ("a", 150 * 30, "vrate_ms", "impossible"), ("a", 160 * 30, "baro_alt_m", "impossible"), ("b", 0, "baro_alt_m", "impossible")]
+    want = [("a", 50 * 30, "baro_alt_m", "spike"), ("a", 90 * 30, "velocity_ms", "spike"), ("a", 91 * 30, "velocity_ms", "spike"), ("a", 150 * 30, "vrate_ms", "impossible"), ("a", 160 * 30, "baro_alt_m", "impossible"), ("a", 170 * 30, "velocity_ms", "impossible"), ("b", 0, "baro_alt_m", "impossible")]
     want += [("a", i * 30, "vrate_ms", "stuck") for i in range(200, 212)]
     for block in (86_400, 1500, 170):  # blocks smaller than the runs and neighbourhoods that reach over their edges
         assert rows(spikes.implausible(df, SPIKE_RULES, block), "icao24", "ts", "field", "reason") == sorted(want)
