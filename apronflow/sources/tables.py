@@ -10,8 +10,13 @@ from apronflow.session import ship
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table of the folder; columns and filters are pruned at the scan by Catalyst."""
+    """One Parquet table of the folder; columns and filters are pruned at the scan by Catalyst.
+
+    Times without zone mean UTC, so the session is set to UTC where it is not.
+    """
     ship(spark)
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
