@@ -34,11 +34,20 @@ class Field:
     log: bool = False
 
 
-def impute(series: np.ndarray, window: int = 24, rank: int = 6, tolerance: float = 1e-3, rounds: int = 60) -> np.ndarray:
+def impute(series: np.ndarray, window: int = 24, rank: int = 6, tolerance: float = 1e-3, rounds: int = 1_000_000) -> np.ndarray:
     """Missing entries (NaN) of a regular series by iterated truncated SVD of its trajectory matrix.
 
-    With fewer than two known entries the only known value, or NaN, is everywhere. rounds bounds the
-    iteration, which usually converges sooner; known entries are never changed.
+    With fewer than two known entries the only known value, or NaN, is everywhere. Known entries are
+    never changed.
+
+    The fill is iterated until it is estimated to lie within tolerance (of the series' standard
+    deviation) of where it would stay put. A round that moves little tells nothing of that, as the
+    moves may dwindle slowly: the estimate is the move times the longest sum of such moves seen, each
+    the geometric series of two rounds. Each round lessens the misfit (what the leading vectors leave
+    over), so the iteration ends. Once it is in its last stretch it is hastened by squared
+    extrapolation, which is taken back where the misfit would grow. rounds is a guard against a fault,
+    hundreds of times the rounds that the test tables need; a fill that meets it is an ArithmeticError
+    and never a result.
     """
     known = np.isfinite(series)
     n, k = len(series), int(known.sum())
@@ -53,23 +62,55 @@ def impute(series: np.ndarray, window: int = 24, rank: int = 6, tolerance: float
         return x
     x = (x - mean) / spread
     window = min(window, n // 2)
+    rank = min(rank, window)
     counts = np.convolve(np.ones(n - window + 1), np.ones(window))
     hole = ~known
-    for _ in range(rounds):
+    done = 0
+
+    def rebuild(fill: np.ndarray) -> tuple[np.ndarray, float]:
+        """What the leading vectors make of a fill, and that fill's misfit."""
+        nonlocal done
+        if done >= rounds:
+            raise ArithmeticError(f"fill of {len(fill)} in {n} slots has not converged after {rounds} rounds")
+        done += 1
+        x[hole] = fill
         track = np.lib.stride_tricks.sliding_window_view(x, window)
         # the leading right singular vectors, from the small window x window product
-        _, vectors = np.linalg.eigh(track.T @ track)
-        lead = vectors[:, -min(rank, window) :]
+        values, vectors = np.linalg.eigh(track.T @ track)
+        lead = vectors[:, window - rank :]
         scores = track @ lead
         # averaging the anti-diagonals of scores @ lead.T is a sum of convolutions
-        rebuilt = sum(np.convolve(scores[:, r], lead[:, r]) for r in range(lead.shape[1])) / counts
-        moved = np.abs(rebuilt[hole] - x[hole]).max()
-        x[hole] = rebuilt[hole]
-        if moved < tolerance:
+        rebuilt = sum(np.convolve(scores[:, r], lead[:, r]) for r in range(rank)) / counts
+        return rebuilt[hole], values[: window - rank].sum()
+
+    fill = x[hole]
+    one, _ = rebuild(fill)
+    while np.abs(one - fill).max() >= CALM:
+        fill, (one, _) = one, rebuild(one)
+    longest, within = 0.0, 0
+    while (moved := np.abs(one - fill).max()) > STILL:
+        # twice in a row, since the first estimates may come before the slowest direction shows
+        within = within + 1 if longest and 2 * moved * longest < tolerance else 0
+        if within > 1:
             break
+        two, misfit = rebuild(one)
+        move, bend = one - fill, two - 2 * one + fill
+        reach = np.linalg.norm(move) / max(np.linalg.norm(bend), 1e-300)
+        longest = max(longest, reach)
+        far = fill + 2 * reach * move + reach**2 * bend
+        ahead, left_over = rebuild(far)
+        if left_over <= misfit:
+            fill, one = far, ahead
+        else:
+            fill, (one, _) = two, rebuild(two)
+    x[hole] = one
     return x * spread + mean
 
 
+#: Moves of a round, in standard deviations: below CALM the iteration is hastened, up to STILL it has come to rest as far as doubles can tell.
+CALM, STILL = 1e-2, 1e-10
+
+
 def _block(fields: Sequence[tuple[str, bool, float | None, bool]], block: int, halo: int, slot_s: int, schema: pa.Schema):
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:  # readings only in the halo of a block that is not in the source's span
@@ -91,7 +132,10 @@ def _block(fields: Sequence[tuple[str, bool, float | None, bool]], block: int, h
             if open_level is not None:
                 series = np.minimum(np.where(unlimited, open_level, series), open_level)
             model = np.log1p(np.maximum(series, 0)) if log else series
-            model = impute(model)
+            try:
+                model = impute(model)
+            except ArithmeticError as e:
+                raise ArithmeticError(f"source {source}, block {number}, {name}: {e}") from e
             filled = np.expm1(model) if log else model
             result = np.where(present, np.where(np.isfinite(value_at(n, at, value)), value_at(n, at, value), np.nan), np.round(filled, 1))
             if open_level is not None:
