@@ -184,14 +184,17 @@ def flag(seg: np.ndarray, t: np.ndarray, v: np.ndarray, flying: np.ndarray, thre
         same[:-1] |= pair
     alive = np.flatnonzero(~outside)
     spiked = np.zeros(n, bool)
-    for _ in range(6):  # a spike hides or feigns others beside it: the strongest go first, then the rest is judged anew
+    p, judged = np.zeros((n, 4)), np.arange(n)
+    # a spike hides or feigns others beside it: the strongest go first, then the rest of their sources is judged anew,
+    # until a round finds none; each takes at least one reading away, so this ends
+    while True:
         s, ts, vs, th = seg[alive], t[alive], v[alive], threshold[alive]
         one, two = (course(s, ts, vs, rules.silence, width, limit.level) / th for width in (1, 2))
         two[-1:] = 0
         paired = np.maximum(two, np.r_[0, two[:-1]])
         score = np.zeros(n)
         score[alive] = np.maximum(one, paired)
-        p = posterior(seg, emissions(score, same, outside))
+        p[judged] = posterior(seg[judged], emissions(score[judged], same[judged], outside[judged]))
         if not spiked.any():
             sure = np.max(p[:, 1:], 1)
             likely_stuck = p[:, 2] > 0.5
@@ -209,7 +212,8 @@ def flag(seg: np.ndarray, t: np.ndarray, v: np.ndarray, flying: np.ndarray, thre
             break
         spiked[alive[found]] = True
         sure[alive[found]] = np.maximum(sure[alive[found]], p[alive, 1][found])
-        alive = alive[~found]
+        busy = np.isin(seg, s[found])
+        judged, alive = np.flatnonzero(busy), alive[~found & busy[alive]]
     reason[spiked] = 1
     reason[stuck_runs(seg, v, flying, rules.stuck_run) & likely_stuck & ~spiked if n else spiked] = 2
     reason[outside & (np.argmax(p, 1) == 3) if n else outside] = 3

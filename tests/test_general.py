@@ -199,6 +199,17 @@ def test_flags(spark):
     assert spikes.implausible(df.limit(0), SPIKE_RULES).count() == 0
 
 
+def test_a_long_chain_of_spikes_is_peeled_to_its_end(spark):
+    raw = cruise("a") + cruise("b", seed=2)
+    for k in range(9):  # every second reading, each larger than the one before, so a round finds only the last
+        raw[100 + 2 * k][3] += 700 + 100 * k
+    raw[400 + 50][3] += 900
+    df = spark.createDataFrame([tuple(x) for x in raw], MEASURED)
+    want = [("a", (100 + 2 * k) * 30, "baro_alt_m", "spike") for k in range(9)] + [("b", 50 * 30, "baro_alt_m", "spike")]
+    for block in (86_400, 3300):  # one block, and an edge within the chain
+        assert rows(spikes.implausible(df, SPIKE_RULES, block), "icao24", "ts", "field", "reason") == want
+
+
 def test_ordinary_changes_are_no_spikes(spark):
     raw = [["a", i * 30, False, 3000.0 + r, 200.0 + r, 0.0 + r] for i, r in enumerate(np.random.default_rng(2).normal(0, 0.5, 60).tolist())]
     raw += [["a", 1800 + i * 30, False, 3000.0 - 360 * i, 200.0 - 10 * i, -12.0 + 0.1 * (i % 3)] for i in range(8)]
