@@ -15,8 +15,9 @@ def _order(order: Sequence[Column]) -> Column:
 def keep_one(df: DataFrame, identifier: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row of each identifier: the one with the least order.
 
-    A hash aggregation with min_by over a struct, so each task first reduces its own copies (a hot
-    identifier sends one row per task through the shuffle). order is compared lexicographically;
+    An aggregation with min_by over a struct, so each task first reduces its own copies (a hot
+    identifier sends one row per task through the shuffle). Spark holds no struct in the buffer of a
+    hash aggregation, so this one sorts by identifier, before the shuffle and after. order is compared lexicographically;
     make its last column unique, else ties fall to the least value of the remaining columns.
 
     Nulls: an identifier with a null part names no message, so such rows all stay. Nulls in order
@@ -41,7 +42,7 @@ def keep_one(df: DataFrame, identifier: Sequence[str], order: Sequence[Column])
 def dropped_copies(df: DataFrame, identifier: Sequence[str], row_id: str, order: Sequence[Column] | None = None) -> DataFrame:
     """The row ids of every copy but the one that remains.
 
-    The aggregation of keep_one names the survivor of each identifier; only identifiers with more
+    An aggregation as in keep_one, by hash if no order is given, names the survivor of each identifier; only identifiers with more
     than one copy go on, and their copies are found by an equi-join, which adaptive execution
     splits where one identifier is hot. No list of copies is ever collected.
     """
