@@ -2,8 +2,8 @@
 
 Items of equal size are alike, so the problem is solved on the histogram of sizes, which is no longer
 than the capacity however many items there are. The solver is bin completion: it takes the largest
-size left, enumerates the undominated fillings of the room beside it, least waste first, applies one
-as often as the counts allow, and goes on; branches whose waste cannot beat the best solution so far
+size left, enumerates fillings of the room beside it, least waste first and within the limits of
+Search, applies one as often as the counts allow, and goes on; branches whose waste cannot beat the best solution so far
 are pruned, and best-fit decreasing is the first solution to beat. The solution is a list of
 patterns; every item finds its container by its rank among the items of its size.
 """
@@ -89,9 +89,10 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
 
 
 def fillings(counts: np.ndarray, room: int, search: Search) -> list[tuple[tuple[int, ...], int]]:
-    """Undominated fillings of room beside the largest item, least waste first: (sizes, waste).
+    """Fillings of room beside the largest item, least waste first: (sizes, waste).
 
-    Of fillings with one sum those with fewer, larger items come first, as the finer ones are dominated.
+    Of fillings with one sum those with fewer, larger items come first, as the finer ones are dominated;
+    only the first found of each waste is given, and no more than search allows.
     """
     available = np.flatnonzero(counts[: room + 1])
     available = available[available > 0]
