@@ -57,11 +57,11 @@ def detected_events(states: DataFrame, table: KeyedTable, checkpoint: str, every
 
 
 def live_table(spark, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, LIVE_DDL, lambda held, batch: newest_wins(held, batch, ["icao24"], "updated_at"))
+    return KeyedTable(spark, path, LIVE_DDL, ["icao24"], lambda held, batch: newest_wins(held, batch, ["icao24"], "updated_at"))
 
 
 def events_table(spark, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, EVENTS_DDL, lambda held, batch: overwrite(held, batch, ["event_id"], UPDATED))
+    return KeyedTable(spark, path, EVENTS_DDL, ["event_id"], lambda held, batch: overwrite(held, batch, ["event_id"], UPDATED))
 
 
 def start_all(states: DataFrame, root: str, every: tuple[str | None, str | None, str | None] = ("60 seconds", "10 seconds", "30 seconds")) -> list[StreamingQuery]:

@@ -10,6 +10,7 @@ from apronflow.operators import quality, upsert
 from apronflow.plans import lake, serving
 from apronflow.sources import envelope, exports
 from apronflow.streaming import pipelines, retractions
+from apronflow.streaming.tables import KeyedTable
 
 MILE = 1609.344
 BOUNDARIES = [
@@ -143,13 +144,42 @@ def test_tracks(spark, tmp_path):
     assert [[p.api_ts for p in r.pings] for r in envelope.tracks(spark, str(tmp_path)).collect()] == [[3, 5]]
 
 
-def test_live_stream_given_twice_is_the_same_table(spark, tmp_path):
-    rows = [(3, t, k, None, -73.0, 40.0 + t, None, False, None, None, None, None) for k, t in (("a", 1), ("a", 2), ("b", 1))]
-    spark.createDataFrame(rows, envelope.ENVELOPE).coalesce(1).write.parquet(str(tmp_path / "in"))
+def reports(spark, where, *rows):
+    spark.createDataFrame([(3, t, k, None, -73.0, lat, None, False, None, None, None, None) for k, t, lat in rows], envelope.ENVELOPE).coalesce(1).write.parquet(str(where))
+
+
+def test_live_stream_from_fresh_checkpoints(spark, tmp_path):
+    """The same rows again change nothing; new rows under a second checkpoint, whose batches count from 0 again, are kept."""
     held = pipelines.live_table(spark, str(tmp_path / "live"))
-    for checkpoint in ("one", "two"):
-        pipelines.latest_positions(envelope.files(spark, str(tmp_path / "in")), held, str(tmp_path / checkpoint)).awaitTermination()
-        assert sorted((r.icao24, r.lat) for r in held.read().collect()) == [("a", 42.0), ("b", 41.0)]
+
+    def run(folder, checkpoint):
+        pipelines.latest_positions(envelope.files(spark, str(tmp_path / folder)), held, str(tmp_path / checkpoint)).awaitTermination()
+        return sorted((r.icao24, r.lat) for r in held.read().collect())
+
+    for i, row in enumerate([("a", 1, 40.0), ("a", 2, 41.0), ("b", 1, 40.0)]):
+        reports(spark, tmp_path / f"first{i}", row)
+    want = [("a", 41.0), ("b", 40.0)]
+    assert run("first*", "one") == want == run("first*", "two")
+    reports(spark, tmp_path / "second0", ("b", 5, 45.0))
+    reports(spark, tmp_path / "second1", ("c", 1, 50.0), ("a", 1, 1.0))
+    assert run("second*", "three") == [("a", 41.0), ("b", 45.0), ("c", 50.0)]
+
+
+def test_keyed_table_rewrites_touched_buckets_only(spark, tmp_path):
+    ddl = "k string, v long, __held string"
+    merge = lambda held, batch: upsert.overwrite(held, batch, ["k"])
+    held = KeyedTable(spark, str(tmp_path / "t"), ddl, ["k"], merge, buckets=16)
+    held.upsert(spark.createDataFrame([], ddl))
+    assert held.read().count() == 0 and held.versions() == []
+    held.upsert(spark.createDataFrame([(f"k{i}", 0, "x") for i in range(200)] + [(None, 1, "x")], ddl))
+    before = held.manifest()["held"]
+    again = KeyedTable(spark, str(tmp_path / "t"), ddl, ["k"], merge, buckets=99)  # the first upsert has fixed the number of buckets
+    again.upsert(spark.createDataFrame([("k7", 5, None)], ddl), 0)
+    again.upsert(spark.createDataFrame([("k7", 5, None)], ddl), 0)
+    after = again.manifest()["held"]
+    assert sum(before[b] != after[b] for b in before) == 1 and len(before) == 16 and again.versions() == [2, 3]
+    assert {r.k: r.v for r in held.read().collect()} == {f"k{i}": 5 if i == 7 else 0 for i in range(200)}
+    assert held.read(2).count() == 200
 
 
 def test_retraction_stream_over_several_batches(spark, tmp_path):
