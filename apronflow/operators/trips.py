@@ -109,7 +109,7 @@ def _fragments(rule: Stay):
         far = metres(lat, lon, slat, slon) > rule.radius_m
         kind[(kind == 1) & far] = 2
         item = cut(kind)
-        for _ in range(2):
+        while True:  # each round takes a reading out of a fragment, so this ends
             mlat, mlon = _middle(item, lat), _middle(item, lon)
             out = (kind == 1) & (metres(lat, lon, mlat[item], mlon[item]) > rule.radius_m / 2)
             if not out.any():
