@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from apronflow.functions import weather
 from apronflow.functions.common import half_up, mean, share, total
-from apronflow.operators.upsert import greatest_per_key
+from apronflow.operators.dedupe import fingerprint, one_per_key, packed
 from apronflow.plans.marts import avg, half
 from apronflow.sources import views
 
@@ -17,14 +17,20 @@ FLIGHT_KEY = ["flight_date", "carrier", "flight_number", "origin", "dest", "crs_
 
 
 def silver_ontime(bronze: DataFrame) -> DataFrame:
-    """Typed flight legs, one per natural key: the version of the latest load month wins."""
+    """Typed flight legs, one per natural key: the version of the latest load month wins.
+
+    Load months are told apart by their digits (yyyy-MM). Of two versions of one month, which the
+    source does not give, the one with the greater fingerprint stays, on every run the same.
+    """
     measure = lambda c, n: F.col(c).try_cast("double").alias(n)
     typed = bronze.select(
         F.col("FlightDate").try_cast("date").alias("flight_date"), F.col("Reporting_Airline").alias("carrier"), F.col("Flight_Number_Reporting_Airline").alias("flight_number"),
         F.col("Origin").alias("origin"), F.col("Dest").alias("dest"), F.col("CRSDepTime").alias("crs_dep_time"), measure("ArrDelay", "arr_delay_min"), measure("ArrDel15", "arr_del15"),
         measure("Cancelled", "cancelled"), F.nullif(F.col("CancellationCode"), F.lit("")).alias("cancellation_code"), measure("WeatherDelay", "weather_delay_min"), measure("NASDelay", "nas_delay_min"), "_ingest_ym",
     ).where(F.col("flight_date").isNotNull())
-    return greatest_per_key(typed, FLIGHT_KEY, ["_ingest_ym"]).withColumn("year", F.year("flight_date"))
+    month = F.regexp_replace("_ingest_ym", r"\D", "").try_cast("long")
+    measures = [c for c in typed.columns if c not in FLIGHT_KEY]
+    return one_per_key(typed, FLIGHT_KEY, packed((month, 18), fingerprint(*measures))).withColumn("year", F.year("flight_date"))
 
 
 def silver_metar(raw: DataFrame) -> DataFrame:
@@ -33,7 +39,8 @@ def silver_metar(raw: DataFrame) -> DataFrame:
         "station", F.try_to_timestamp("valid", F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz").alias("obs_ts"), weather.number(F.col("vsby")).alias("visibility_sm"),
         weather.ceiling_slots([F.col(f"skyc{i}") for i in range(1, 5)], [F.col(f"skyl{i}") for i in range(1, 5)]).alias("ceiling_ft"),
     ).where(F.col("obs_ts").isNotNull())
-    one = greatest_per_key(obs, ["station", "obs_ts"], ["visibility_sm", "ceiling_ft"])
+    hundredths = lambda c: F.floor(F.col(c) * 100 + 0.5).cast("long")
+    one = one_per_key(obs, ["station", "obs_ts"], packed((hundredths("visibility_sm"), 18), (hundredths("ceiling_ft"), 18)))
     return one.withColumn("flight_category", weather.category(F.col("ceiling_ft"), F.col("visibility_sm")))
 
 

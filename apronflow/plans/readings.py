@@ -98,7 +98,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 def p7_kept(spark: SparkSession, folder: str) -> DataFrame:
     """The messages themselves, one copy each."""
     columns = ("delivery_id", "batch_id", "poll_ts", "callsign", "lon", "lat", "baro_alt_m", "on_ground", "velocity_ms", "track_deg", "vrate_ms", "category")
-    return dedupe.keep_one(readings(table(spark, folder, "state_messages"), *columns), ["icao24", "ts"], [F.col("delivery_id")])
+    return dedupe.keep_one(readings(table(spark, folder, "state_messages"), *columns), ["icao24", "ts"], "delivery_id", unique=True, nulls=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -65,7 +65,8 @@ def _states(spark: SparkSession, folder: str) -> DataFrame:
 def positions(spark: SparkSession, folder: str, window_s: int = 300, airborne: bool = False, ago_s: int = 0) -> DataFrame:
     """Where each aircraft heard of within window_s is, and how old that is; ago_s seconds before the newest report."""
     s = views.live_states(spark, folder, ago_s)
-    now = newest(s, "ts")
+    # the newest report of all is that of its aircraft too, so a scan of the times alone tells it
+    now = newest(views.placed_states(spark, folder), "ts") if not ago_s else newest(s, "ts")
     rows = s.where(F.col("ts") > now - window_s)
     rows = rows.where(~F.col("on_ground")) if airborne else rows
     names = {"baro_alt_m": "alt_m", "velocity_ms": "vel_ms"}

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from apronflow.functions import weather
 from apronflow.functions.common import ntz
 from apronflow.operators import keys
-from apronflow.operators.upsert import greatest_per_key, latest_per_key
+from apronflow.operators.dedupe import one_per_key, packed
+from apronflow.operators.upsert import greatest_per_key
 from apronflow.sources.tables import readings, table
 
 
@@ -53,13 +54,18 @@ def weather_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(F.col("alert_id").isNotNull() & F.col("airport").isNotNull() & F.col("effective_ts").isNotNull()).distinct()
 
 
-def live_states(spark: SparkSession, folder: str, ago_s: int = 0) -> DataFrame:
-    """Latest position of each aircraft, as the guarded upsert leaves it; ago_s seconds before the newest report."""
+def placed_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports with a position, copies included."""
     columns = ("callsign", "lat", "lon", "baro_alt_m", "on_ground", "velocity_ms", "track_deg", "vrate_ms", "category", "poll_ts", "delivery_id")
     rows = readings(table(spark, folder, "state_messages"), *columns).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    rows = rows.withColumn("callsign", F.nullif(F.trim("callsign"), F.lit("")))
+    return rows.withColumn("callsign", F.nullif(F.trim("callsign"), F.lit("")))
+
+
+def live_states(spark: SparkSession, folder: str, ago_s: int = 0) -> DataFrame:
+    """Latest position of each aircraft, as the guarded upsert leaves it; ago_s seconds before the newest report."""
+    rows = placed_states(spark, folder)
     rows = rows.where(F.col("ts") <= rows.agg(F.max("ts")).scalar() - ago_s) if ago_s else rows
-    return latest_per_key(rows, ["icao24"], [F.col("ts"), F.col("poll_ts"), -F.col("delivery_id")])
+    return one_per_key(rows, ["icao24"], packed((F.col("ts"), 12), (F.col("poll_ts"), 12), (-F.col("delivery_id"), 14)))
 
 
 def ontime_bronze(spark: SparkSession, folder: str) -> DataFrame:

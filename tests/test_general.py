@@ -258,11 +258,32 @@ def test_copies(spark):
     raw = [("a", 1, 5, "x"), ("a", 1, 3, "y"), ("a", 1, 9, None), ("a", 2, 4, "z"), (None, 1, 6, "n"), (None, 1, 7, "n"), ("a", None, 8, "n")]
     df = spark.createDataFrame(raw, "icao24 string, ts long, delivery_id long, __kept string")
     assert rows(dedupe.dropped_copies(df, ["icao24", "ts"], "delivery_id"), "delivery_id") == [(5,), (9,)]
-    kept = dedupe.keep_one(df.withColumnRenamed("__kept", "o0"), ["icao24", "ts"], [F.col("delivery_id")])
-    assert rows(kept, "delivery_id") == [(3,), (4,), (6,), (7,), (8,)]
+    kept = dedupe.keep_one(df.withColumnRenamed("__kept", "o0"), ["icao24", "ts"], "delivery_id")
+    assert rows(kept, "delivery_id", "o0") == [(3, "y"), (4, "z"), (6, "n"), (7, "n"), (8, "n")]
+    assert rows(dedupe.keep_one(df.drop("__kept").union(df.drop("__kept")), ["icao24", "ts"], "delivery_id").where("icao24 IS NOT NULL AND ts IS NOT NULL"), "delivery_id") == [(3,), (4,)]
     assert dedupe.dropped_copies(df.limit(0), ["icao24", "ts"], "delivery_id").count() == 0
 
 
+def test_copies_in_a_struct_order(spark):
+    """min_by over (delivery time, tie-break): nulls first, then the time, then the tie-break."""
+    raw = [("a", 1, 50, 7, "late"), ("a", 1, 20, 9, "tie"), ("a", 1, 20, 8, "first"), ("b", 1, None, 5, "null"), ("b", 1, -3, 1, "known"), ("c", 1, 4, 4, None)]
+    df = spark.createDataFrame(raw, "icao24 string, ts long, poll_ts long, delivery_id long, text string")
+    order = [(F.col("poll_ts"), 18), (F.col("delivery_id"), 20)]
+    assert rows(dedupe.keep_one(df, ["icao24", "ts"], order), "icao24", "text") == [("a", "first"), ("b", "null"), ("c", None)]
+    assert rows(dedupe.dropped_copies(df, ["icao24", "ts"], "delivery_id", order), "delivery_id") == [(1,), (7,), (9,)]
+    best = dedupe.one_per_key(df, ["icao24"], dedupe.packed(*order))
+    assert rows(best, "icao24", "ts", "poll_ts", "text") == [("a", 1, 50, "late"), ("b", 1, -3, "known"), ("c", 1, 4, None)]
+    assert dedupe.one_per_key(df.limit(0), ["icao24"], dedupe.packed(*order)).count() == 0
+
+
+def test_packed_orders_as_the_struct_does(spark):
+    r = random.Random(4)
+    raw = [(r.choice([None, -5, 0, 3, 10**11]), r.choice([None, -(2**63), 2**63 - 1, 0, 7])) for _ in range(60)]
+    df = spark.createDataFrame(raw, "a long, b long")
+    got = [tuple(x) for x in df.orderBy(dedupe.packed((F.col("a"), 18), (F.col("b"), 20))).collect()]
+    assert got == [tuple(x) for x in df.orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()).collect()]
+
+
 # joins in time and sessions
 
 

@@ -42,3 +42,9 @@ def test_contract(spark):
     assert contract.entry(spark).count() >= 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(QUERIES) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ["p7_found", "p7_kept", "ontime_silver", "metar_silver", "gold_day_delay", "latest_position", "positions"])
+def test_one_row_per_key_is_aggregated_by_hash(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
