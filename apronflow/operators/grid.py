@@ -2,8 +2,8 @@
 
 Readings are first reduced to one row per source and slot, then every slot from a source's first to
 its last row is laid out in blocks of bounded length. In each block the series is embedded as a
-Hankel trajectory matrix, its leading singular vectors rebuild it, the missing entries take the
-rebuilt values, and this repeats until they stay put. Filled slots are marked.
+Hankel trajectory matrix, its leading singular vectors, weighted against the noise, rebuild it, the
+missing entries take the rebuilt values, and this repeats until they stay put. Filled slots are marked.
 """
 
 from __future__ import annotations
@@ -34,20 +34,29 @@ class Field:
     log: bool = False
 
 
-def impute(series: np.ndarray, window: int = 24, rank: int = 6, tolerance: float = 1e-3, rounds: int = 1_000_000) -> np.ndarray:
+#: Windows and ranks that a series may be modelled with; a held-out trial on the series itself decides.
+MODELS = ((12, 2), (24, 2), (48, 3))
+#: Rounds of a trial, share of the known entries that it hides, and the known entries that it takes at least.
+TRIAL_ROUNDS, TRIAL_SHARE, TRIAL_LEAST = 30, 0.1, 48
+#: Rounds after which the vectors and their weights are held, which leaves a contraction.
+HOLD = 2_000
+
+
+def impute(series: np.ndarray, window: int | None = None, rank: int | None = None, tolerance: float = 1e-3) -> np.ndarray:
     """Missing entries (NaN) of a regular series by iterated truncated SVD of its trajectory matrix.
 
     With fewer than two known entries the only known value, or NaN, is everywhere. Known entries are
-    never changed.
+    never changed. Without a window and rank the ones of MODELS are taken that restore hidden entries
+    of the series best, hidden in runs as long as its own holes.
+
+    The leading vectors are not taken whole: each is weighted by the share of its variance that is
+    above the noise, which is the mean variance of the vectors left out. Without that the fill follows
+    the noise of the readings around a hole, and is worse than a straight line.
 
     The fill is iterated until it is estimated to lie within tolerance (of the series' standard
-    deviation) of where it would stay put. A round that moves little tells nothing of that, as the
-    moves may dwindle slowly: the estimate is the move times the longest sum of such moves seen, each
-    the geometric series of two rounds. Each round lessens the misfit (what the leading vectors leave
-    over), so the iteration ends. Once it is in its last stretch it is hastened by squared
-    extrapolation, which is taken back where the misfit would grow. rounds is a guard against a fault,
-    hundreds of times the rounds that the test tables need; a fill that meets it is an ArithmeticError
-    and never a result.
+    deviation) of where it would stay put: a round's move times the geometric sum of such moves. Weights
+    below one draw the fill in, so it comes to rest; should the vectors still turn after HOLD rounds,
+    they are held, and what is left is a contraction that is carried on to the same tolerance.
     """
     known = np.isfinite(series)
     n, k = len(series), int(known.sum())
@@ -57,58 +66,71 @@ def impute(series: np.ndarray, window: int = 24, rank: int = 6, tolerance: float
         return np.where(known, series, series[known][0] if k else np.nan)
     at = np.arange(n)
     x = np.interp(at, at[known], series[known])
-    mean, spread = x.mean(), x.std()
+    mean, spread = x[known].mean(), x[known].std()
     if spread == 0 or n < 4:
         return x
     x = (x - mean) / spread
-    window = min(window, n // 2)
-    rank = min(rank, window)
+    if window is None or rank is None:
+        window, rank = _model(x, known)
+    _fill(x, ~known, window, rank, tolerance)
+    return x * spread + mean
+
+
+def _model(x: np.ndarray, known: np.ndarray) -> tuple[int, int]:
+    """The model of MODELS with the least error on entries that are known and hidden; the same on every run."""
+    there = np.flatnonzero(known)
+    if len(there) < TRIAL_LEAST:
+        return MODELS[1]
+    edge = np.flatnonzero(np.diff(np.r_[False, ~known, False].astype(np.int8)))
+    holes = edge[1::2] - edge[::2]
+    draw = np.random.default_rng(len(x))
+    hidden = np.zeros(len(x), bool)
+    while hidden.sum() < TRIAL_SHARE * len(there):
+        begin = int(draw.choice(there))
+        hidden[begin : begin + min(int(draw.choice(holes)), len(there) // 4)] = True
+        hidden &= known
+    hidden[[there[0], there[-1]]] = False
+    seen = known & ~hidden
+    at = np.arange(len(x))
+    start = np.interp(at, at[seen], x[seen])
+    error = []
+    for window, rank in MODELS:
+        y = start.copy()
+        _fill(y, ~seen, window, rank, 0.0, TRIAL_ROUNDS)
+        error.append(np.square(y[hidden] - x[hidden]).sum())
+    return MODELS[int(np.argmin(error))]
+
+
+def _fill(x: np.ndarray, hole: np.ndarray, window: int, rank: int, tolerance: float, rounds: int | None = None) -> None:
+    """Replaces x[hole] until it stays put, or for so many rounds."""
+    n = len(x)
+    window = max(2, min(window, n // 2))
+    rank = min(rank, window - 1)
     counts = np.convolve(np.ones(n - window + 1), np.ones(window))
-    hole = ~known
-    done = 0
-
-    def rebuild(fill: np.ndarray) -> tuple[np.ndarray, float]:
-        """What the leading vectors make of a fill, and that fill's misfit."""
-        nonlocal done
-        if done >= rounds:
-            raise ArithmeticError(f"fill of {len(fill)} in {n} slots has not converged after {rounds} rounds")
-        done += 1
-        x[hole] = fill
+    before, calm, done = np.inf, 0, 0
+    while rounds is None or done < rounds:
         track = np.lib.stride_tricks.sliding_window_view(x, window)
-        # the leading right singular vectors, from the small window x window product
-        values, vectors = np.linalg.eigh(track.T @ track)
-        lead = vectors[:, window - rank :]
-        scores = track @ lead
+        if done <= HOLD:
+            # the leading right singular vectors, from the small window x window product
+            values, vectors = np.linalg.eigh(track.T @ track)
+            lead, noise = vectors[:, window - rank :], max(values[: window - rank].mean(), 0.0)
+            weight = np.clip(1 - noise / np.maximum(values[window - rank :], 1e-12), 0.0, 1 - 1e-6)
+        scores = (track @ lead) * weight
         # averaging the anti-diagonals of scores @ lead.T is a sum of convolutions
         rebuilt = sum(np.convolve(scores[:, r], lead[:, r]) for r in range(rank)) / counts
-        return rebuilt[hole], values[: window - rank].sum()
-
-    fill = x[hole]
-    one, _ = rebuild(fill)
-    while np.abs(one - fill).max() >= CALM:
-        fill, (one, _) = one, rebuild(one)
-    longest, within = 0.0, 0
-    while (moved := np.abs(one - fill).max()) > STILL:
+        move = float(np.linalg.norm(rebuilt[hole] - x[hole]))
+        x[hole] = rebuilt[hole]
+        done += 1
+        shrink = move / before if before > 0 else 0.0
+        before = move
         # twice in a row, since the first estimates may come before the slowest direction shows
-        within = within + 1 if longest and 2 * moved * longest < tolerance else 0
-        if within > 1:
-            break
-        two, misfit = rebuild(one)
-        move, bend = one - fill, two - 2 * one + fill
-        reach = np.linalg.norm(move) / max(np.linalg.norm(bend), 1e-300)
-        longest = max(longest, reach)
-        far = fill + 2 * reach * move + reach**2 * bend
-        ahead, left_over = rebuild(far)
-        if left_over <= misfit:
-            fill, one = far, ahead
-        else:
-            fill, (one, _) = two, rebuild(two)
-    x[hole] = one
-    return x * spread + mean
+        calm = calm + 1 if move <= STILL or (shrink < 1 and move * shrink / (1 - shrink) < tolerance) else 0
+        if rounds is None and calm > 1:
+            return
 
 
-#: Moves of a round, in standard deviations: below CALM the iteration is hastened, up to STILL it has come to rest as far as doubles can tell.
-CALM, STILL = 1e-2, 1e-10
+#: A move, in standard deviations, below which the fill rests as far as doubles can tell.
+STILL = 1e-10
 
 
 def _block(fields: Sequence[tuple[str, bool, float | None, bool]], block: int, halo: int, slot_s: int, schema: pa.Schema):
@@ -132,10 +154,7 @@ def _block(fields: Sequence[tuple[str, bool, float | None, bool]], block: int, h
             if open_level is not None:
                 series = np.minimum(np.where(unlimited, open_level, series), open_level)
             model = np.log1p(np.maximum(series, 0)) if log else series
-            try:
-                model = impute(model)
-            except ArithmeticError as e:
-                raise ArithmeticError(f"source {source}, block {number}, {name}: {e}") from e
+            model = impute(model)
             filled = np.expm1(model) if log else model
             result = np.where(present, np.where(np.isfinite(value_at(n, at, value)), value_at(n, at, value), np.nan), np.round(filled, 1))
             if open_level is not None:
