@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from apronflow.operators import batches
 
-#: Seconds of a shard. Times are whole seconds and distinct, which bounds a shard's arrays.
-SHARD_S = 21_600
+#: Seconds of a shard: long enough for hundreds of keys of a station. Times are whole seconds and distinct, which bounds a shard's arrays.
+SHARD_S = 28 * 86_400
 #: Positions that the model may be off.
-ERROR = 16
+ERROR = 2
 
 
 class LinearIndex:
@@ -84,11 +84,13 @@ class LinearIndex:
         last = np.append(self.first[1:], n)[segment]
         base = self.first[segment]
         guess = base + np.rint(self.slope[segment] * (wanted - begin[segment]).astype(np.float64)).astype(np.int64)
-        # a value between two keys of a segment belongs within one position of the line's error; beyond its last key, at the next segment
-        low = np.clip(guess - self.error - 2, base, last)
-        high = np.clip(guess + self.error + 2, base, last)
+        # a line is within error of every key of its segment, so of a value between two keys it is so or one more below;
+        # beyond a segment's last key the value belongs at the next segment
+        low = np.clip(guess - self.error, base, last)
+        high = np.clip(guess + self.error + 1, base, last)
         low = np.where((low > base) & (self.keys[np.clip(low - 1, 0, n - 1)] >= wanted), base, low)
         high = np.where((high < last) & (self.keys[np.clip(high, 0, n - 1)] < wanted), last, high)
+        self.width = float((high - low).mean()) if len(wanted) else 0.0  # positions left to the search, on the average
         while True:
             open_ = low < high
             if not open_.any():

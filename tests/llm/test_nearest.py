@@ -38,3 +38,12 @@ def test_rows_equal_brute_force(spark):
     assert got == sorted(want)
     assert nearest.nearest_times(lf.limit(0), rf, 120).count() == 0
     assert nearest.nearest_times(lf, rf.limit(0), 120).count() == 0
+
+
+def test_the_line_leaves_few_positions_to_the_search():
+    rng = np.random.default_rng(6)
+    keys = np.unique(np.cumsum(rng.choice([1800, 3600, 3600, 7200, 300], 700)) + rng.integers(0, 240, 700))
+    index = nearest.LinearIndex(keys)
+    wanted = rng.integers(keys[0], keys[-1], 2000)
+    assert (index.position(wanted) == np.searchsorted(keys, wanted)).all()
+    assert len(keys) > 500 and len(index.first) < len(keys) / 10 and index.width < 8
