@@ -1,11 +1,12 @@
 import random
 
 import pytest
+import regex
 
 from apronflow.llm import tokens
 
 PATH = f"{tokens.FOLDER}/byte_bpe_50k.tiktoken"
-PARTS = [" ", "  ", "\n", "\t", "a", "bc", "1", "23", "'s", "'", "'ll", "é", "漢", "́", "\x1c", " ", " ", "-", "!!", "_", "\r\n", "ß", "٣", "​", "<|endoftext|>"]
+PARTS = [" ", "  ", "\n", "\t", "a", "bc", "1", "23", "'s", "'", "'ll", "é", "漢", "́", "\x1c", " ", " ", "-", "!!", "_", "\r\n", "ß", "٣", "​", "<|endoftext|>", "。", "、", "ไ", "่", "の", "ア", "क", "ि", "я", "１", "！", "　", "…"]
 
 
 def chunked(text, chunk, overlap):
@@ -26,6 +27,13 @@ def test_long_texts_with_and_without_boundaries():
     assert tokens.cuts("word " * 20_000) and not tokens.cuts("x" * 60_000)
 
 
+@pytest.mark.parametrize("text", ["これは長い文章です。改行はなく、句読点だけがある。", "这是一段很长的文字，没有空格，只有标点。", "ภาษาไทยไม่มีช่องว่างระหว่างคำ", "यह एक लंबा पाठ है", "это длинный текст,без пробелов", "漢字１２３カナ"])
+def test_long_texts_of_many_scripts_are_cut(text):
+    long = text * (80_000 // len(text))
+    assert len(tokens.cuts(long)) == (len(long) - 1) // tokens.CHUNK
+    assert tokens.encode([long], PATH)[0] == tokens.encoding(PATH).encode_ordinary(long)
+
+
 def test_agrees_with_the_published_json_vocabulary():
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(f"{tokens.FOLDER}/byte_bpe_50k.json")
     library.encode_special_tokens = True
@@ -44,3 +52,9 @@ def test_rows(spark):
     back = {r.doc_id: r.text for r in tokens.decoded(got).collect()}
     assert all(back[k] == (t or "") for k, t, _ in rows)
     assert tokens.encoded(df.limit(0)).count() == 0
+
+
+def test_classes_are_what_they_say():
+    for chars, kind in ((tokens.LETTERS, r"\p{L}"), (tokens.DIGITS, r"\p{N}"), (tokens.MARKS, r"[^\s\p{L}\p{N}]"), (tokens.BLANKS, r"\s")):
+        every = [c for c in map(chr, range(0x10000)) if regex.fullmatch(f"[{chars}]", c)]
+        assert every and all(regex.fullmatch(kind, c) for c in every)
