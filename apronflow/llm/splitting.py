@@ -1,7 +1,7 @@
 """Texts over a limit cut into pieces, at natural boundaries where there are any, with an overlap.
 
 The text is encoded once. Line ends are the candidates, block ends (a blank line behind) the better
-ones. Around every line end the words of the lines before and after are compared: the cosine of two
+ones; where no line ends, the ends of sentences, then blanks, then changes between words and marks. Around every line end the words of the lines before and after are compared: the cosine of two
 sliding blocks of hashed token counts is high within a topic and has a valley where the topic
 changes. Of the candidates within reach of a piece the deepest valley is the cut; each piece begins
 with the last tokens of the one before.
@@ -31,12 +31,38 @@ class Split:
 
 
 def marks(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per id: ends a line, is nothing but blanks, and begins in the middle of a character."""
+    """Per id: ends a line, is nothing but blanks, and its number of bytes."""
     table = tokens.token_bytes(path)
     ends = np.fromiter((t.endswith((b"\n", b"\r")) for t in table), bool, len(table))
     blank = np.fromiter((not t.strip(b" \t\r\n\x0b\x0c") for t in table), bool, len(table))
-    torn = np.fromiter((bool(t) and t[0] & 0xC0 == 0x80 for t in table), bool, len(table))
-    return ends, blank, torn
+    return ends, blank, np.fromiter(map(len, table), np.int64, len(table))
+
+
+#: Bytes that are blanks, that end a sentence when a blank follows, and that belong to words; ends of sentences that need no blank.
+BLANK_BYTES, STOP_BYTES = np.isin(np.arange(256), list(b" \t\r\n\x0b\x0c")), np.isin(np.arange(256), list(b".!?;"))
+WORD_BYTES = np.isin(np.arange(256), [*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)])
+WIDE_STOPS = tuple("。！？．".encode()[i : i + 3] for i in (0, 3, 6, 9))
+
+
+def inner_cut(raw: np.ndarray, at: np.ndarray) -> int:
+    """Where to cut a stretch without line ends: the last of the places (byte offsets) that is a sentence's end, else a blank, else an end of a word, else the last between characters.
+
+    Gives the place's number.
+    """
+    before, behind = raw[at - 1], raw[at]
+    whole = behind & 0xC0 != 0x80
+    wide = np.zeros(len(at), bool)
+    for k in np.flatnonzero(whole & (before >= 0x80) & (at >= 3)):
+        wide[k] = raw[at[k] - 3 : at[k]].tobytes() in WIDE_STOPS
+    sentence = (STOP_BYTES[before] & BLANK_BYTES[behind]) | wide
+    blank = BLANK_BYTES[behind] | BLANK_BYTES[before]
+    edge = ~(WORD_BYTES[before] & WORD_BYTES[behind])
+    for good in (sentence, blank, edge):
+        hit = np.flatnonzero(good & whole)
+        if len(hit):
+            return int(hit[-1])
+    hit = np.flatnonzero(whole)
+    return int(hit[-1]) if len(hit) else len(at) - 1
 
 
 def valleys(ids: np.ndarray, line: np.ndarray, blank: np.ndarray, rule: Split) -> np.ndarray:
@@ -64,12 +90,16 @@ def valleys(ids: np.ndarray, line: np.ndarray, blank: np.ndarray, rule: Split) -
     return peak_left + peak_right - 2 * cosine
 
 
-def split(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], rule: Split) -> np.ndarray:
-    """Where the pieces' new tokens begin: 0, the cuts, and the end. Piece k holds the tokens from overlap before its cut on."""
+def split(ids: np.ndarray, raw: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], rule: Split) -> np.ndarray:
+    """Where the pieces' new tokens begin: 0, the cuts, and the end. Piece k holds the tokens from overlap before its cut on.
+
+    raw: the text's bytes, which the ids are of.
+    """
     n = len(ids)
     if n <= rule.limit:
         return np.array([0, n])
-    ends, blank, torn = table
+    ends, blank, size = table
+    offset = np.r_[0, np.cumsum(size[ids])]
     stop = ends[ids]
     last = np.flatnonzero(stop)
     line = np.r_[0, np.cumsum(stop)[:-1]]
@@ -103,10 +133,9 @@ def split(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], rul
                 if score[k] >= 0:
                     best = int(where[lo + k])
                     break
-        if best < 0:  # no line ends here: as much as fits, not within a character
-            best = high
-            while best > low and torn[ids[best]]:
-                best -= 1
+        if best < 0:  # no line ends here
+            first = max(low, rule.overlap) if at == 0 else low
+            best = first + inner_cut(raw, offset[first : high + 1])
         cuts.append(best)
         at = best
     return np.array([*cuts, n])
@@ -119,23 +148,27 @@ DOUBLE = 628
 def _splitter(path: str, key: str, rule: Split):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = marks(path)
-        lookup = tokens.token_bytes(path)
         for b in tokens.small_batches(batches, "text", 2_000_000):
             row, piece, first, size, ids_out, text_out = [], [], [], [], [], []
             for i, text in enumerate(b.column("text").to_pylist()):
                 if not text:
                     continue
-                listed = tokens.encode([text], path)[0]
-                ids = np.asarray(listed, np.int64)
-                at = split(ids, table, rule)
-                if len(at) == 2:
+                ids = np.asarray(tokens.encode([text], path)[0], np.int32)
+                if len(ids) <= rule.limit:
                     row.append(i), piece.append(0), first.append(0), size.append(len(ids)), ids_out.append(ids), text_out.append(text)
                     continue
-                for k in range(len(at) - 1):
-                    begin = max(0, int(at[k]) - rule.overlap) if k else 0
-                    part = listed[begin : int(at[k + 1])]
-                    row.append(i), piece.append(k), first.append(begin), size.append(len(part)), ids_out.append(ids[begin : int(at[k + 1])])
-                    text_out.append(b"".join([lookup[x] for x in part]).decode("utf-8", "replace"))
+                encoded = text.encode()
+                raw = np.frombuffer(encoded, np.uint8)
+                at = split(ids, raw, table, rule)
+                offset = np.r_[0, np.cumsum(table[2][ids])]
+                begin = np.maximum(at[:-1] - rule.overlap, 0)
+                begin[0] = 0
+                for k, (x, y) in enumerate(zip(begin.tolist(), at[1:].tolist(), strict=True)):
+                    p = int(offset[x])
+                    while raw[p] & 0xC0 == 0x80:  # an overlap that begins within a character: its text begins with the next one
+                        p += 1
+                    row.append(i), piece.append(k), first.append(x), size.append(y - x), ids_out.append(ids[x:y])
+                    text_out.append(encoded[p : offset[y]].decode())
             if row:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(key).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(first, pa.int32()), pa.array(size, pa.int32()), tokens.lists(ids_out), pa.array(text_out, pa.string())],
@@ -150,10 +183,11 @@ def pieces(documents: DataFrame, key: str = "doc_id", rule: Split = Split(), voc
 
     A text of at most limit tokens is one piece. Longer ones are cut behind line ends: among those
     that fill at least half of what a piece may newly take, behind block ends if there are any; else
-    behind earlier ones; at the limit only where no line ends within reach. Every piece but the first repeats the last `overlap`
+    behind earlier ones. Where no line ends within reach the cut is behind a sentence, else at a blank,
+    else where a word ends, else between two characters at the limit. Every piece but the first repeats the last `overlap`
     tokens of the one before, and has at most limit tokens with them. Dropping the overlap and joining
-    ids gives the document's ids. text is the ids' bytes; where the overlap begins within a
-    character of several tokens, its torn bytes show as replacement characters, while ids are exact.
+    ids gives the document's ids. text is the slice of the document that ids are of; where the overlap
+    begins within a character of several tokens, text begins with the next character.
     Null and empty texts have no pieces; repeated rows have theirs each; extra columns are ignored.
 
     Scale: one document's pieces depend on that document alone, so there is no shuffle.

@@ -24,6 +24,7 @@ def check(rows, text, rule):
             before = rows[k - 1]
             assert list(r.ids[: rule.overlap]) == list(before.ids[-rule.overlap :])
         joined += r.ids[rule.overlap if k else 0 :]
+        assert r.text in text and "�" not in r.text
     assert list(joined) == ids
     table = splitting.marks(PATH)
     for k, r in enumerate(rows[:-1]):
@@ -56,5 +57,23 @@ def test_topic_change_is_the_cut():
     a, b = "apples pears plums cherries grow in orchards\n" * 40, "sockets bind listen accept packets over networks\n" * 60
     ids = np.asarray(tokens.encode([a + b], PATH)[0])
     border = len(tokens.encode([a], PATH)[0])
-    at = splitting.split(ids, splitting.marks(PATH), splitting.Split(limit=border + 60, overlap=10))
+    at = splitting.split(ids, np.frombuffer((a + b).encode(), np.uint8), splitting.marks(PATH), splitting.Split(limit=border + 60, overlap=10))
     assert at[1] == border
+
+
+def last_words(text):
+    ids, raw = np.asarray(tokens.encode([text], PATH)[0]), np.frombuffer(text.encode(), np.uint8)
+    offset = np.r_[0, np.cumsum(splitting.marks(PATH)[2][ids])]
+    return [raw[: offset[k]].tobytes().decode() for k in splitting.split(ids, raw, splitting.marks(PATH), splitting.Split())[1:-1]]
+
+
+def test_without_line_ends_sentences_then_blanks_then_words():
+    told = last_words("The lights went out in the long hall. Nobody spoke for a while; then they all did! " * 60)
+    assert told and all(t.endswith((".", ";", "!")) for t in told)
+    told = last_words("これは長い文章です。改行はありません！" * 120)
+    assert told and all(t.endswith(("。", "！")) for t in told)
+    text = "alpha beta gamma delta " * 400
+    assert all(text[len(t)] == " " or t.endswith(" ") for t in last_words(text))
+    text = "alpha/beta/gamma(delta)" * 400
+    assert all(not (t[-1].isalnum() and text[len(t)].isalnum()) for t in last_words(text))
+    assert last_words("漢😀" * 3000)
