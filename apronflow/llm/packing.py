@@ -5,11 +5,13 @@ than the capacity however many items there are. The solver is bin completion: it
 size left, enumerates fillings of the room beside it, least waste first and within the limits of
 Search, applies one as often as the counts allow, and goes on; branches whose waste cannot beat the best solution so far
 are pruned, and best-fit decreasing is the first solution to beat. The solution is a list of
-patterns; every item finds its container by its rank among the items of its size.
+patterns; every item finds its container by its rank among the items of its size. Where that stage
+misses the lower bound, a complete search over all undominated fillings follows, within a budget.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,14 +32,18 @@ SALTS = 256
 class Search:
     """How long the search goes on; where it stops, the best solution so far stands and no item is left out.
 
-    fillings: alternatives per pattern; items: beside the largest, up to so many are enumerated by
-    number, fewest first; nodes: patterns tried; steps: sizes looked at per pattern.
+    First stage, for any number of items. fillings: alternatives per pattern; items: beside the
+    largest, up to so many are enumerated by number, fewest first; nodes: patterns tried; steps: sizes
+    looked at per pattern. Second stage, where the first has not reached the lower bound: every
+    undominated filling of every container, one container at a time, until the tree is exhausted (the
+    solution is then proven) or exact containers have been filled.
     """
 
     fillings: int = 4
     items: int = 4
     nodes: int = 4_000
     steps: int = 6_000
+    exact: int = 20_000
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -151,12 +157,103 @@ def fillings(counts: np.ndarray, room: int, search: Search) -> list[tuple[tuple[
     return sorted(out, key=lambda x: x[1])
 
 
+def maximal(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...]]:
+    """All fillings of room that nothing left over fits into besides: those not dominated by a larger set. Large items first."""
+    kinds = np.flatnonzero(counts[: room + 1])
+    kinds = kinds[kinds > 0][::-1].tolist()
+    have = [int(counts[s]) for s in kinds]
+
+    rest = np.append(np.cumsum([s * n for s, n in zip(kinds, have, strict=True)][::-1])[::-1], 0).tolist()  # what all items from here on would fill
+
+    def go(i: int, left: int, chosen: tuple[int, ...], spared: int) -> Iterator[tuple[int, ...]]:
+        """spared: the smallest size of which some were left out although they fit; in the end it must not fit."""
+        for j in range(i, len(kinds)):
+            if left - rest[j] >= spared:
+                return
+            s = kinds[j]
+            if s <= left:
+                for k in range(min(have[j], left // s), 0, -1):
+                    yield from go(j + 1, left - k * s, chosen + (s,) * k, min(spared, s) if k < have[j] else spared)
+                spared = min(spared, s)
+        if spared > left:
+            yield chosen
+
+    yield from go(0, room, (), room + 1)
+
+
+def exhaust(counts: np.ndarray, capacity: int, best: list[tuple[tuple[int, ...], int]], goal: int, containers: int) -> tuple[list[tuple[tuple[int, ...], int]], bool]:
+    """Complete branch and bound: the best solution and whether it is proven.
+
+    The largest item left goes into the next container; some best solution fills that with an
+    undominated set, since items can always move into room that is left. A state that was reached with
+    as few containers before, or that needs too many by its sizes or by its items over half the
+    capacity, is left.
+    """
+    counts = counts.astype(np.int64).copy()
+    size = np.arange(len(counts))
+    limit, tried = sum(times for _, times in best), 0
+    path: list[tuple[int, ...]] = []
+    seen: dict[bytes, int] = {}
+
+    def options() -> Iterator[tuple[int, ...]]:
+        left = np.flatnonzero(counts)
+        total = int((size * counts).sum())
+        bound = max(-(-total // capacity), int(counts[capacity // 2 + 1 :].sum()))
+        state = hashlib.blake2b(counts.tobytes(), digest_size=16).digest()
+        if len(path) + bound >= limit or seen.get(state, limit) <= len(path):
+            return iter(())
+        seen[state] = len(path)
+        s = int(left[-1])
+        spare = counts.copy()
+        spare[s] -= 1
+        return ((s, *f) for f in maximal(spare, capacity - s))
+
+    counts[0] = 0
+    stack = [options()] if counts.any() else []
+    while stack:
+        if limit <= goal:
+            return best, True
+        pattern = next(stack[-1], None)
+        if pattern is None:
+            stack.pop()
+            if path:
+                np.add.at(counts, list(path.pop()), 1)
+            continue
+        tried += 1
+        if tried > containers:
+            return best, False
+        np.subtract.at(counts, list(pattern), 1)
+        path.append(pattern)
+        if not counts.any():
+            if len(path) < limit:
+                best, limit = [(p, 1) for p in path], len(path)
+            np.add.at(counts, list(path.pop()), 1)
+        else:
+            stack.append(options())
+    return best, True
+
+
 def complete(counts: np.ndarray, capacity: int, search: Search = Search()) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and how often each is used: bin completion by depth-first branch and bound.
 
-    counts[s] items of each size s <= capacity. Ends at the lower bound, or with the best solution
-    found within search.nodes patterns; every item is in some pattern either way.
+    counts[s] items of each size s <= capacity. Ends at the lower bound; else with the proven best
+    solution if the second stage ends within search.exact containers; else with the best one found.
+    Every item is in some pattern in any case.
     """
+    return solve(counts, capacity, search)[0]
+
+
+def solve(counts: np.ndarray, capacity: int, search: Search = Search()) -> tuple[list[tuple[tuple[int, ...], int]], bool]:
+    """complete, and whether its solution is proven to be the best."""
+    best, goal = _first(counts, capacity, search), lower_bound(counts, capacity)
+    used = sum(times for _, times in best)
+    if used <= goal or used > search.exact:  # more containers than the budget: not even one branch would come to its end
+        return best, used <= goal
+    return exhaust(counts, capacity, best, goal, search.exact)
+
+
+def _first(counts: np.ndarray, capacity: int, search: Search) -> list[tuple[tuple[int, ...], int]]:
+    """The first stage: patterns are applied as often as the counts allow, which suits many like items."""
     counts = counts.astype(np.int64).copy()
     size = np.arange(len(counts))
     goal = lower_bound(counts, capacity)
@@ -247,7 +344,8 @@ def packed(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, sear
     kind = dict(sizes.dtypes)[key]
     items = sizes.where(F.col("n") > 0).select(key, F.col("n").cast("long").alias("n"))
     items = items.withColumn("full", F.floor(F.col("n") / capacity)).withColumn("rest", (F.col("n") % capacity).cast("int"))
-    items = cut_lineage(items.withColumn("salt", F.pmod(F.xxhash64(key, "n"), F.lit(SALTS)).cast("int")))
+    # told once and then written, so it needs no meaning; rows of one key, null ones say, are spread too
+    items = cut_lineage(items.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")))
     groups = items.groupBy("rest", "salt").agg(F.count(F.lit(1)).alias("items"), F.sum("full").alias("fulls"))
     groups = cut_lineage(groups)
     counts = np.zeros(capacity + 1, np.int64)

@@ -31,14 +31,45 @@ def brute(items, capacity):
 
 def test_optimal_on_small_cases():
     rng = np.random.default_rng(3)
-    for _ in range(60):
-        items = sorted(rng.integers(1, 21, rng.integers(1, 10)).tolist(), reverse=True)
+    for _ in range(150):
+        items = sorted(rng.integers(1, 21, rng.integers(1, 11)).tolist(), reverse=True)
         counts = np.bincount(items, minlength=21)
-        got = packing.complete(counts, 20)
+        got, proven = packing.solve(counts, 20)
         assert sorted(itertools.chain.from_iterable(list(p) * n for p, n in got)) == sorted(items)
         assert all(sum(p) <= 20 for p, _ in got)
-        assert containers(got) == brute(items, 20) or containers(got) <= containers(packing.best_fit(counts, 20))
-        assert containers(got) >= packing.lower_bound(counts, 20)
+        assert proven and containers(got) == brute(items, 20) >= packing.lower_bound(counts, 20)
+
+
+def test_the_complete_stage_alone_is_optimal():
+    rng = np.random.default_rng(8)
+    for _ in range(80):
+        items = sorted(rng.integers(3, 12, rng.integers(4, 10)).tolist(), reverse=True)
+        counts = np.bincount(items, minlength=21)
+        worst = [((s,), int(n)) for s, n in enumerate(counts) if n]
+        got, proven = packing.exhaust(counts, 20, worst, 0, 10**6)
+        assert proven and containers(got) == brute(items, 20)
+        assert sorted(itertools.chain.from_iterable(list(p) * n for p, n in got)) == items[::-1]
+
+
+def test_a_budget_that_ends_leaves_a_whole_solution():
+    counts = np.bincount(np.random.default_rng(5).integers(200, 900, 400), minlength=2049)
+    got, proven = packing.solve(counts, 2048, packing.Search(nodes=5, exact=50))
+    assert sum(len(p) * n for p, n in got) == 400 and (proven or containers(got) > packing.lower_bound(counts, 2048))
+
+
+def test_maximal_fillings_are_all_of_them():
+    counts = np.bincount([2, 2, 3, 5, 5, 7, 11], minlength=21)
+    every = set()
+    sizes = [s for s in range(1, 13) for _ in range(counts[s])]
+    for k in range(len(sizes) + 1):
+        for f in itertools.combinations(sizes, k):
+            rest = list(sizes)
+            for x in f:
+                rest.remove(x)
+            if sum(f) <= 12 and all(sum(f) + x > 12 for x in rest):
+                every.add(tuple(sorted(f, reverse=True)))
+    got = list(packing.maximal(counts, 12))
+    assert len(got) == len(set(got)) and set(got) == every
 
 
 def test_many_items_reach_the_bound():
@@ -58,7 +89,8 @@ def test_rows(spark):
     got = packing.packed(df).toPandas()
     assert (got.groupby("container").tokens.sum() <= 2048).all()
     want = {k: n for k, n in rows if n}
-    assert got.groupby("doc_id", dropna=False).tokens.sum().to_dict() == {(np.nan if k is None else k): n for k, n in want.items()} or got.tokens.sum() == sum(want.values())
+    told = got.groupby(got.doc_id.fillna(-1)).tokens.sum().to_dict()
+    assert told == {-1 if k is None else k: n for k, n in want.items()}
     split = got.groupby("doc_id").size()
     assert set(split[split > 1].index) == {9001, 9002, 9004}
     for _, own in got[got.doc_id.isin([9001, 9002, 9004])].sort_values("piece").groupby("doc_id"):
