@@ -21,7 +21,7 @@ def changes(records: DataFrame, identifier: Sequence[str], keys: Sequence[str],
     and arrival_s. Version 0 is the first output at the period's end plus grace, with sign +1; each
     later distinct arrival up to cutoff seconds after the end gives version v: the old count with
     sign -1 and the new one with +1. Arrivals beyond give one row per period with sign 0, n the
-    number of dropped records. A period whose first record is late starts
+    number of dropped records and no version, since they change nothing. A period whose first record is late starts
     with the retraction of a count of 0.
 
     The state of a key and period is bounded: records are first reduced per record, then to one row
@@ -48,7 +48,7 @@ def changes(records: DataFrame, identifier: Sequence[str], keys: Sequence[str],
     order = Window.partitionBy(*by).orderBy("late", "at_s")
     running = steps.withColumn("new_n", F.sum(F.when(F.col("late") < 2, F.col("added")).otherwise(0)).over(order))
     running = running.withColumn("old_n", F.col("new_n") - F.when(F.col("late") < 2, F.col("added")).otherwise(0))
-    running = running.withColumn("version", F.sum(F.when(F.col("late") == 1, 1).otherwise(0)).over(order).cast("long"))
+    running = running.withColumn("version", F.when(F.col("late") < 2, F.sum(F.when(F.col("late") == 1, 1).otherwise(0)).over(order)).cast("long"))
     plus = F.struct(F.lit(1).alias("sign"), F.col("new_n").alias("n"))
     minus = F.struct(F.lit(-1).alias("sign"), F.col("old_n").alias("n"))
     gone = F.struct(F.lit(0).alias("sign"), F.col("added").alias("n"))

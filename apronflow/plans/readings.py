@@ -111,7 +111,30 @@ m AS (SELECT lower(regexp_replace(icao24, '\\s', '', 'g')) AS icao24, delivery_i
        WHEN abs(api_ts) < 100000000000000000 THEN api_ts // 1000000 ELSE api_ts // 1000000000 END AS ts
   FROM state_messages WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL)"""
 
+#: First arrivals of the records of both tables.
+_RECORDS = f"""{_MESSAGES},
+r AS (SELECT 'state_messages' AS src, icao24, ts AS event_s, min(poll_ts) AS arrival FROM m WHERE poll_ts IS NOT NULL GROUP BY icao24, ts
+  UNION ALL SELECT 'flight_events', icao24, event_s, arrival FROM (
+    SELECT event_id, lower(regexp_replace(icao24, '\\s', '', 'g')) AS icao24, epoch(event_ts)::BIGINT AS event_s, min(epoch(detected_at)::BIGINT) AS arrival
+    FROM flight_events WHERE event_id IS NOT NULL AND icao24 IS NOT NULL AND event_ts IS NOT NULL AND detected_at IS NOT NULL GROUP BY ALL))"""
+
+
+def changelog_sql(columns: str, where: str = "true") -> str:
+    """The changelog of counts per aircraft and hour, told from the counts before and after each arrival second."""
+    return f"""
+WITH {_RECORDS},
+h AS (SELECT src, icao24, event_s // 3600 * 3600 AS period_s, arrival, arrival - (event_s // 3600 * 3600 + 3600) AS late FROM r WHERE {where}),
+s AS (SELECT src, icao24, period_s, CASE WHEN late <= 300 THEN 0 WHEN late <= 21600 THEN 1 ELSE 2 END AS late, CASE WHEN late <= 300 THEN period_s + 3900 WHEN late <= 21600 THEN arrival ELSE period_s + 25200 END AS at_s FROM h),
+g AS (SELECT src, icao24, period_s, late, at_s, count(*) AS added FROM s GROUP BY ALL),
+c AS (SELECT a.src, a.icao24, a.period_s, a.late, a.at_s, a.added, coalesce(sum(b.added), 0) AS before, count(b.at_s) FILTER (b.late = 1) AS versions
+  FROM g a LEFT JOIN g b ON b.src = a.src AND b.icao24 = a.icao24 AND b.period_s = a.period_s AND b.late < 2 AND b.at_s < a.at_s GROUP BY ALL),
+d AS (SELECT *, CASE late WHEN 0 THEN 0 WHEN 1 THEN versions + 1 END::BIGINT AS version, unnest(CASE late WHEN 0 THEN [1] WHEN 1 THEN [-1, 1] ELSE [0] END) AS sign FROM c),
+q AS (SELECT src, icao24, period_s, version, at_s, sign::INTEGER AS sign, CASE sign WHEN 1 THEN before + added WHEN -1 THEN before ELSE added END::BIGINT AS n, late::INTEGER AS late FROM d)
+SELECT {columns} FROM q"""
+
+
 SQL: dict[str, str] = {
+    "p6_changes": changelog_sql("*"),
     "p1_found": """
 WITH o AS (SELECT upper(regexp_replace(station, '\\s', '', 'g')) AS station, epoch(obs_ts)::BIGINT // 3600 * 3600 AS h, visibility_m FROM weather_obs WHERE station IS NOT NULL AND obs_ts IS NOT NULL),
 span AS (SELECT station, min(h) AS lo, max(h) AS hi FROM o GROUP BY station),
@@ -131,11 +154,7 @@ q AS (SELECT *, lead(s) OVER (PARTITION BY airport ORDER BY s) AS nxt FROM p)
 SELECT airport, 'period' AS kind, s AS start_ts, e AS end_ts FROM p
 UNION ALL SELECT airport, 'gap', e, nxt FROM q WHERE nxt - e <= 43200""",
     "p6_found": f"""
-WITH {_MESSAGES},
-r AS (SELECT 'state_messages' AS src, icao24, ts AS event_s, min(poll_ts) AS arrival FROM m WHERE poll_ts IS NOT NULL GROUP BY icao24, ts
-  UNION ALL SELECT 'flight_events', icao24, event_s, arrival FROM (
-    SELECT event_id, lower(regexp_replace(icao24, '\\s', '', 'g')) AS icao24, epoch(event_ts)::BIGINT AS event_s, min(epoch(detected_at)::BIGINT) AS arrival
-    FROM flight_events WHERE event_id IS NOT NULL AND icao24 IS NOT NULL AND event_ts IS NOT NULL AND detected_at IS NOT NULL GROUP BY ALL)),
+WITH {_RECORDS},
 h AS (SELECT src, icao24, event_s // 3600 * 3600 AS hour_ts, arrival - (event_s // 3600 * 3600 + 3600) AS late FROM r)
 SELECT DISTINCT src, icao24, hour_ts, CASE WHEN late <= 21600 THEN 'corrected' ELSE 'dropped' END AS outcome FROM h WHERE late > 300""",
     "p7_found": f"""

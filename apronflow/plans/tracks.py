@@ -15,6 +15,7 @@ from apronflow.operators.sessions import sessionize
 from apronflow.operators.upsert import latest_per_key, newest_wins, overwrite
 from apronflow.session import checkpoint_dir
 from apronflow.sources import envelope, views
+from apronflow.plans.readings import changelog_sql
 from apronflow.sources.tables import readings, table
 from apronflow.streaming import events, pipelines, retractions
 
@@ -205,13 +206,20 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     return held.read()
 
 
-def stream_retractions(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts per aircraft and hour that the deltas of the stream add up to."""
+def stream_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The changelog of message counts as the stream gives it; dropped records are added up."""
     where = _place(spark)
-    rows = _stream(spark, folder).select("icao24", F.col("api_ts").cast("string").alias("record"), F.col("api_ts").alias("event_s"), F.col("poll_ts").alias("arrival_s"))
-    out = retractions.deltas(rows).writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{where}/deltas/batch={i}"))
+    rows = _stream(spark, folder).select("icao24", F.col("api_ts").cast("string").alias("record"), F.col("api_ts").alias("event_s"), keys.seconds("poll_ts").alias("arrival_s")).where(F.col("arrival_s").isNotNull())
+    out = retractions.deltas(rows, lateness="0 seconds").writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{where}/deltas/batch={i}"))
     out.option("checkpointLocation", f"{where}/offsets").trigger(availableNow=True).start().awaitTermination()
     told = spark.read.schema(retractions.DELTAS_DDL).parquet(f"{where}/deltas/batch=*")
+    lost = told.where(F.col("sign") == 0).groupBy("icao24", "period_s", "version", "at_s", "sign").agg(F.sum("n").alias("n"))
+    return told.where(F.col("sign") != 0).unionByName(lost)
+
+
+def stream_retractions(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per aircraft and hour that the deltas of the stream add up to."""
+    told = stream_changes(spark, folder)
     return told.where(F.col("sign") != 0).groupBy("icao24", "period_s").agg(F.sum(F.col("sign") * F.col("n")).alias("n"))
 
 
@@ -219,7 +227,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         flight_category, haversine_nearest, track_delta, event_ids, dead_reckon, latest_position, bronze_dedupe, gap_sessions, track_scan, upsert_guarded, upsert_partial, anti_loaded_months,
-        alert_changes, envelope_decode, state_vectors, unit_conversion, dq_unique, dq_accepted, dq_checks, detect_events, stream_dedupe, stream_latest, stream_events, stream_retractions,
+        alert_changes, envelope_decode, state_vectors, unit_conversion, dq_unique, dq_accepted, dq_checks, detect_events, stream_dedupe, stream_latest, stream_events, stream_changes, stream_retractions,
     )
 } | {"detect_arrival": _kind("arrival"), "detect_holding": _kind("holding"), "detect_goaround": _kind("go_around")}
 
@@ -267,6 +275,7 @@ SELECT a.event_id, a.callsign, z.duration_s, z.details FROM a JOIN z USING (even
 UNION ALL SELECT 'callsign_not_null', count(*) FILTER (callsign IS NULL) FROM flight_events UNION ALL SELECT 'detected_after_event', count(*) FILTER (NOT coalesce(detected_at >= event_ts, false)) FROM flight_events""",
     "stream_latest": f"{_W('ls')} SELECT icao24, ts, lat, lon, baro_alt_m, on_ground, velocity_ms, track_deg, vrate_ms, category FROM ls",
     "stream_dedupe": _DEDUPE,
+    "stream_changes": changelog_sql("icao24, period_s, version, at_s, sign, n", "src = 'state_messages'"),
     "stream_retractions": f"""WITH r AS (SELECT icao24, ts, min(poll_ts) AS a FROM (SELECT {_ID}, poll_ts FROM state_messages WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL AND poll_ts IS NOT NULL) GROUP BY 1, 2)
 SELECT icao24, ts // 3600 * 3600 AS period_s, count(*) AS n FROM r WHERE a <= ts // 3600 * 3600 + 3600 + 21600 GROUP BY 1, 2""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,56 +11,66 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 DELTAS_DDL = "icao24 string, period_s long, version long, at_s long, sign int, n long"
+#: Records told already; those whose arrival second is still open, with it; the count given out last, if any, and its version.
+STATE_DDL = "told array<string>, record array<string>, arrival array<long>, n long, given long, version long"
 
 
-def _advance(period: int, grace: int, cutoff: int):
+def _advance(period: int, grace: int, cutoff: int, memory: int):
     def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """State: the records counted so far, the count last given out (or none yet), and its version."""
         icao24, start = key[0], int(key[1])
         close, end = start + period + grace, start + period + cutoff
-        seen, given, version = json.loads(state.get[0]) if state.exists else ([], None, 0)
-        known, out = set(seen), []
-        if state.hasTimedOut:
-            if given is None:
-                given = len(known)
+        now = state.getCurrentWatermarkMs() // 1000
+        told, record, arrival, n, given, version = state.get if state.exists else ([], [], [], 0, None, 0)
+        told, waiting = set(told), dict(zip(record, arrival, strict=True))
+        if not state.hasTimedOut:
+            for f in frames:
+                for r, at in zip(f["record"].tolist(), f["arrival_s"].tolist(), strict=True):
+                    if r not in told:
+                        waiting[r] = min(at, waiting.get(r, at))
+        # whatever arrived up to the watermark is complete, for later rows as old as that are not let in
+        due = {r: at for r, at in waiting.items() if at <= now}
+        steps = Counter(close if at <= close else at if at <= end else end + 1 for at in due.values())
+        n += steps.pop(close, 0)
+        out: list[tuple] = []
+        if given is None and now >= close:
+            given = n
+            if given:
                 out.append((version, close, 1, given))
-            if state.getCurrentWatermarkMs() >= end * 1000:
-                state.remove()
-                known = None
+        lost = steps.pop(end + 1, 0)
+        for at in sorted(steps):
+            version += 1
+            out += [(version, at, -1, given), (version, at, 1, given + steps[at])]
+            given += steps[at]
+        if lost:
+            out.append((None, end, 0, lost))
+        if now >= end + memory:
+            state.remove()
         else:
-            rows = pd.concat(list(frames))
-            for record, at in rows.sort_values(["arrival_s", "record"])[["record", "arrival_s"]].itertuples(index=False):
-                if record in known:
-                    continue
-                if at > end:
-                    out.append((version, end, 0, 1))
-                    continue
-                known.add(record)
-                if at > close:
-                    if given is None:
-                        given = len(known) - 1
-                        if given:
-                            out.append((version, close, 1, given))
-                    version += 1
-                    out += [(version, int(at), -1, given), (version, int(at), 1, given + 1)]
-                    given += 1
-        if known is not None:
-            state.update((json.dumps([sorted(known), given, version]),))
-            mark = state.getCurrentWatermarkMs()
-            state.setTimeoutTimestamp(max(mark + 1, (close if given is None else end) * 1000))
+            open_ = {r: at for r, at in waiting.items() if r not in due}
+            state.update(([*told, *due], list(open_), list(open_.values()), n, given, version))
+            # a timer fires once the watermark is past it
+            wanted = min([*open_.values(), end + memory, *([close] if given is None else [])])
+            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, wanted * 1000 - 1))
         if out:
-            yield pd.DataFrame([(icao24, start, *x) for x in out], columns=["icao24", "period_s", "version", "at_s", "sign", "n"])
+            frame = pd.DataFrame([(icao24, start, *x) for x in out], columns=["icao24", "period_s", "version", "at_s", "sign", "n"])
+            yield frame.astype({"version": "Int64"})
 
     return work
 
 
-def deltas(records: DataFrame, period: int = 3600, grace: int = 300, cutoff: int = 21_600) -> DataFrame:
-    """Signed deltas per icao24 and period, as operators.late.changes gives them for a whole table.
+def deltas(records: DataFrame, period: int = 3600, grace: int = 300, cutoff: int = 21_600, lateness: str = "1 minute", memory: int = 86_400) -> DataFrame:
+    """Signed deltas per icao24 and period: the rows that operators.late.changes gives for a whole table.
 
-    records: icao24, record (a string that names it), event_s, arrival_s. The watermark follows
-    arrival, so a period is given out once arrivals have passed its closing time and its state ends
-    at the cut-off. Sums of sign times n are the current counts at every moment.
+    records: icao24, record (a string that names it), event_s, arrival_s. The watermark follows arrival
+    by lateness, in which a second's arrivals may still come in whatever order; then the second is
+    complete and gives one version, however the batches cut it. A period is given out once that has
+    passed its closing time. Sums of sign times n are the current counts at every moment. Dropped
+    records are told as they come, so that their counts per period add up to those of the whole table.
+
+    State: the names of a period's records, so that copies count once, kept for memory seconds after the
+    cut-off; a copy that comes later still is told as dropped. With a lateness of 0 (for a replay that
+    is one batch) nothing is left open at the end.
     """
     rows = records.withColumn("period_s", (F.floor(F.col("event_s") / period) * period).cast("long")).withColumn("arrival", F.timestamp_seconds("arrival_s"))
-    rows = rows.withWatermark("arrival", "0 seconds")
-    return rows.groupBy("icao24", "period_s").applyInPandasWithState(_advance(period, grace, cutoff), DELTAS_DDL, "state string", "update", GroupStateTimeout.EventTimeTimeout)
+    rows = rows.withWatermark("arrival", lateness)
+    return rows.groupBy("icao24", "period_s").applyInPandasWithState(_advance(period, grace, cutoff, memory), DELTAS_DDL, STATE_DDL, "update", GroupStateTimeout.EventTimeTimeout)

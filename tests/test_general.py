@@ -276,7 +276,8 @@ def test_changelog(spark):
     df = spark.createDataFrame(raw, "icao24 string, id long, event_s long, arrival_s long")
     records = df.where("event_s IS NOT NULL AND arrival_s IS NOT NULL")
     log = late.changes(records, ["id"], ["icao24"])
-    assert rows(log.where("icao24 = 'a'"), "version", "at_s", "sign", "n") == [(0, 3900, 1, 6), (1, 3901, -1, 6), (1, 3901, 1, 7), (2, 5000, -1, 7), (2, 5000, 1, 8), (2, 25_200, 0, 1)]
+    assert rows(log.where("icao24 = 'a' AND sign = 0"), "version", "at_s", "n") == [(None, 25_200, 1)]
+    assert rows(log.where("icao24 = 'a' AND sign <> 0"), "version", "at_s", "sign", "n") == [(0, 3900, 1, 6), (1, 3901, -1, 6), (1, 3901, 1, 7), (2, 5000, -1, 7), (2, 5000, 1, 8)]
     assert rows(late.outcomes(log, ["icao24"]).where("icao24 IS NOT NULL"), "icao24", "period_s", "outcome") == [("a", 0, "corrected"), ("a", 0, "dropped"), ("b", 0, "corrected")]
     assert {r.icao24: r.n for r in late.current(log, ["icao24"]).collect()} == {"a": 8, "b": 1, None: 1}
     assert late.changes(records.limit(0), ["id"], ["icao24"]).count() == 0

@@ -27,7 +27,7 @@ def test_equals_sql(spark, con, name):
     assert not extra and not missing, (list(extra.items())[:3], list(missing.items())[:3])
 
 
-@pytest.mark.parametrize("name", ["stream_dedupe", "stream_latest", "stream_retractions"])
+@pytest.mark.parametrize("name", ["stream_dedupe", "stream_latest", "stream_changes", "stream_retractions"])
 def test_streams_equal_sql(spark, con, name):
     extra, missing = differences(QUERIES[name](spark, FOLDER), con, SQL[name])
     assert not extra and not missing

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from apronflow.functions import geo, weather
-from apronflow.operators import quality, upsert
+from apronflow.operators import late, quality, upsert
 from apronflow.plans import lake, serving
 from apronflow.sources import envelope, exports
 from apronflow.streaming import pipelines, retractions
@@ -182,14 +182,23 @@ def test_keyed_table_rewrites_touched_buckets_only(spark, tmp_path):
     assert held.read(2).count() == 200
 
 
-def test_retraction_stream_over_several_batches(spark, tmp_path):
-    """Deltas of three micro-batches: given out, corrected, dropped, and a copy that counts once."""
+def test_retraction_stream_gives_the_changelog_of_the_batch(spark, tmp_path):
+    """Micro-batches that cut a second's arrivals apart, copies, corrections, drops: row by row what late.changes gives."""
     ddl = "icao24 string, record string, event_s long, arrival_s long"
-    parts = [[("a", "1", 10, 20), ("a", "2", 20, 30)], [("a", "3", 30, 5000), ("a", "1", 10, 5001), ("b", "9", 9000, 9000)], [("a", "4", 40, 40_000)]]
+    parts = [
+        [("a", "1", 10, 20), ("a", "2", 20, 30)],
+        [("a", "3", 30, 5000), ("a", "1", 10, 5001), ("b", "9", 9000, 9000), ("a", "6", 36, 9000)],
+        [("a", "5", 35, 9000), ("a", "7", 37, 8999), ("c", "1", 100, 9100)],
+        [("a", "4", 40, 40_000), ("a", "4", 40, 40_001), ("a", "8", 41, 40_000), ("a", "2", 20, 40_002)],
+        [("z", "1", 500_000, 500_000)],
+    ]
     for i, part in enumerate(parts):
         spark.createDataFrame(part, ddl).coalesce(1).write.parquet(str(tmp_path / f"in{i}"))
     stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in*"))
     out = retractions.deltas(stream).writeStream.outputMode("update").format("memory").queryName("deltas").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     out.awaitTermination()
-    got = sorted((r.version, r.sign, r.n) for r in spark.table("deltas").where("icao24 = 'a' AND sign <> 0").collect())
-    assert got == [(0, 1, 2), (1, -1, 2), (1, 1, 3)]
+    whole = late.changes(spark.createDataFrame([r for p in parts for r in p], ddl), ["record"], ["icao24"])
+    key = lambda df: sorted((r.icao24, r.period_s, r.version, r.at_s, r.sign, r.n) for r in df.where("sign <> 0 AND icao24 <> 'z'").collect())
+    assert key(spark.table("deltas")) == key(whole) and len(key(whole)) == 10
+    lost = lambda df: {(r.icao24, r.period_s): r.n for r in df.where("sign = 0").groupBy("icao24", "period_s").agg(F.sum("n").alias("n")).collect()}
+    assert lost(spark.table("deltas")) == lost(whole) == {("a", 0): 2}
