@@ -4,12 +4,11 @@ The aggregate of an entity and time shard is a sorted list of disjoint intervals
 combine by one linear merge, so the aggregate is associative and commutative: tasks first reduce
 their own rows, and a tree of exchanges with a bounded fan-in combines the partial lists. Shards are
 told by an interval's start; an interval that reaches into later shards needs no copies, because the
-shards of an entity are finally chained by the running maximum of their ends.
+shards of an entity are finally chained by the running maximum of their ends, one number per shard.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from apronflow.operators import batches
+from apronflow.session import cut_lineage
 
 #: Seconds of a shard: a list holds at most half as many disjoint intervals as its shard has seconds.
 SHARD_S = 7 * 86_400
-#: Partial lists that one node of the tree combines.
-FAN_IN = 64
+#: Partial lists that one node of the tree combines, and levels of the tree. Tasks beyond FAN_IN ** LEVELS share leaves.
+FAN_IN, LEVELS = 64, 2
 
 LISTS = pa.schema([("entity", pa.string()), ("shard", pa.int64()), ("node", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 LISTS_DDL = "entity string, shard long, node long, starts array<long>, ends array<long>"
@@ -102,10 +102,10 @@ def disjoint(df: DataFrame, entity: str, start: str, end: str, shard_s: int = SH
     """
     rows = df.select(F.col(entity).cast("string").alias("entity"), F.col(start).alias("s"), F.col(end).alias("e"))
     rows = rows.where(F.col("entity").isNotNull() & (F.col("e") > F.col("s")))
-    rows = rows.withColumn("shard", F.floor(F.col("s") / shard_s)).withColumn("node", F.spark_partition_id().cast("long"))
+    leaf = F.pmod(F.spark_partition_id(), F.lit(fan_in**LEVELS)).cast("long")
+    rows = rows.withColumn("shard", F.floor(F.col("s") / shard_s)).withColumn("node", leaf)
     lists = rows.select("entity", F.col("shard").cast("long").alias("shard"), "node", "s", "e").mapInArrow(_reduce_rows, LISTS_DDL)
-    width = max(1, df.rdd.getNumPartitions())
-    for _ in range(max(1, math.ceil(math.log(max(width, 2), fan_in)))):
+    for _ in range(LEVELS):
         lists = lists.withColumn("parent", F.floor(F.col("node") / fan_in))
         lists = lists.repartition("entity", "shard", "parent").sortWithinPartitions("entity", "shard", "parent").mapInArrow(_combine(fan_in), LISTS_DDL)
     return lists.select("entity", "shard", "starts", "ends")
@@ -118,15 +118,18 @@ def periods_and_gaps(df: DataFrame, entity: str, start: str, end: str, max_gap:
     ends continues it. Gaps longer than max_gap are left out. Repeated rows change nothing; an empty
     table gives an empty result; extra columns are ignored.
     """
-    lists = disjoint(df, entity, start, end, shard_s)
+    # written once, as it is read for its ends, its pieces and their number; what goes through an entity's window is one narrow row per shard
+    lists = cut_lineage(disjoint(df, entity, start, end, shard_s))
     before = Window.partitionBy("entity").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = lists.withColumn("reach", F.max(F.array_max("ends")).over(before))
+    ends = lists.select("entity", "shard", F.array_max("ends").alias("end")).withColumn("reach", F.max("end").over(before)).drop("end")
     # what the earlier shards cover is swallowed; of the rest only a shard's first piece can continue an earlier period
     zipped = F.filter(F.arrays_zip("starts", "ends"), lambda x: F.col("reach").isNull() | (x["ends"] > F.col("reach")))
-    shards = shards.select("entity", "shard", "reach", zipped.alias("pieces"))
+    shards = lists.join(ends, ["entity", "shard"]).select("entity", "shard", "reach", zipped.alias("pieces"))
     joined = F.coalesce(F.get("pieces", F.lit(0))["starts"] <= F.col("reach"), F.lit(False))
     shards = shards.withColumn("joined", F.when(joined, 1).otherwise(0))
-    shards = shards.withColumn("offset", F.coalesce(F.sum(F.size("pieces") - F.col("joined")).over(before), F.lit(0)))
+    new = shards.select("entity", "shard", (F.size("pieces") - F.col("joined")).alias("new"))
+    offsets = new.withColumn("offset", F.coalesce(F.sum("new").over(before), F.lit(0))).drop("new")
+    shards = shards.join(offsets, ["entity", "shard"])
     # periods are numbered along the shards, so a period finds the next one by its number instead of by sorting an entity's periods
     pieces = shards.select("entity", "offset", "joined", F.posexplode("pieces").alias("at", "p"))
     run = F.col("offset") + F.col("at") - F.col("joined")
