@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Seconds of a shard of one key's time line; no window is longer.
 SHARD_S = 86_400
 
 
+def spread(*columns: str, over: int = 4096) -> Column:
+    """A number that spreads rows, equal ones too, over groups."""
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(over)).cast("long")
+
+
 def backward(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, columns: Sequence[str], strict: bool = False, shard_s: int = SHARD_S) -> DataFrame:
     """left with right's columns as of left_ts: from the last right row of the key with right_ts <= left_ts (strict: <).
 
-    Rows without an earlier right row keep nulls; so do rows with a null key or time. Right rows must be
+    Rows without an earlier right row keep nulls; so do rows with a null key or time, which are spread
+    over as many windows as they like, as they look for nothing. Right rows must be
     unique per (key, right_ts), else the greatest of them counts. Extra columns stay with left;
     columns that both sides have must be renamed before.
 
@@ -31,7 +37,9 @@ def backward(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts
     earlier = Window.partitionBy(key).orderBy("__shard").rangeBetween(Window.unboundedPreceding, -1)
     inherited = line.withColumn("__value", F.last("__value", ignorenulls=True).over(earlier)).where(F.col("__asked") & F.col("__value").isNotNull())
     inherited = inherited.select(key, "__shard", F.col(f"__value.{right_ts}").alias("__ts"), "__value")
-    probe = left.select(F.col(key), shard(left_ts).alias("__shard"), F.col(left_ts).alias("__ts"), F.struct(*[F.col(c) for c in left.columns]).alias("__row"))
+    lost = F.col(key).isNull() | F.col(left_ts).isNull()
+    own = F.when(lost, spread(*left.columns)).otherwise(shard(left_ts))
+    probe = left.select(F.col(key), own.alias("__shard"), F.col(left_ts).alias("__ts"), F.struct(*[F.col(c) for c in left.columns]).alias("__row"))
     # at one instant the right row comes first if it counts, else last
     sides = known.unionByName(inherited).withColumn("__side", F.lit(1 if strict else -1)).unionByName(probe.withColumn("__side", F.lit(0)), allowMissingColumns=True)
     order = Window.partitionBy(key, "__shard").orderBy(F.col("__ts").asc_nulls_first(), "__side", F.col("__value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from apronflow.operators.asof import spread
+
 SHARD_S = 86_400
 
 
@@ -12,10 +14,10 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int, shard_s: int = SHAR
     """df with session_s, the time at which the row's session began.
 
     ts is a long. A row more than gap_s after the one before begins a session; rows at one time share
-    one. Rows with a null key or time have a null session. Sessions are found in shards of one key and
+    one. Rows with a null key or time have a null session and are spread over windows. Sessions are found in shards of one key and
     day, so a hot key is spread; a session that reaches over shards is joined from one row per shard.
     """
-    shard = F.floor(F.col(ts) / shard_s)
+    shard = F.when(F.col(key).isNull() | F.col(ts).isNull(), spread(key, ts)).otherwise(F.floor(F.col(ts) / shard_s))
     line = Window.partitionBy(key, "__shard").orderBy(ts)
     rows = df.withColumn("__shard", shard)
     begins = F.lag(ts).over(line).isNull() | (F.col(ts) - F.lag(ts).over(line) > gap_s)
@@ -29,4 +31,4 @@ def sessionize(df: DataFrame, key: str, ts: str, gap_s: int, shard_s: int = SHAR
     carried = edges.where("__joins").select(key, "__shard", "__first", "__from")
     out = rows.join(carried, [key, "__shard"], "left")
     session = F.when(F.col("__local") == F.col("__first"), F.col("__from")).otherwise(F.col("__local"))
-    return out.select(*df.columns, F.when(F.col(key).isNotNull(), session).alias("session_s"))
+    return out.select(*df.columns, F.when(F.col(key).isNotNull() & F.col(ts).isNotNull(), session).alias("session_s"))

@@ -345,6 +345,17 @@ def test_sessions_equal_brute_force(spark):
             assert got[k, t] == begin
 
 
+def test_rows_without_key_or_time_are_spread_and_kept(spark):
+    rows_ = [(None, 5, 1), (None, 5, 1), ("a", None, 2), ("a", 7, 3)]
+    df = spark.createDataFrame(rows_, "k string, t long, id long")
+    got = sessionize(df, "k", "t", 90).collect()
+    assert sorted((r.id, r.session_s) for r in got if r.session_s is not None) == [(3, 7)] and len(got) == 4
+    ts = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    right = spark.createDataFrame([("a", 6, 9), (None, 1, 8)], "k string, s long, v long").withColumn("seen", ts("s")).drop("s")
+    out = asof.backward(df.withColumn("at", ts("t")), right, "k", "at", "seen", ["v"]).collect()
+    assert sorted((r.id, r.v) for r in out if r.v is not None) == [(3, 9)] and len(out) == 4
+
+
 def test_units_of_time(spark):
     got = spark.createDataFrame([(1483232431,), (1483232431000,), (1483232431000000,), (None,)], "t long").select(keys.seconds("t").alias("s"))
     assert [r.s for r in got.collect()] == [1483232431] * 3 + [None]
