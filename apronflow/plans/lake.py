@@ -9,7 +9,9 @@ from apronflow.functions import weather
 from apronflow.functions.common import half_up, mean, share, total
 from apronflow.operators.dedupe import fingerprint, one_per_key, packed
 from apronflow.plans.marts import avg, half
+from apronflow.operators.upsert import write_clustered
 from apronflow.sources import views
+from apronflow.sources.store import stored
 
 DESTINATIONS = ("JFK", "LGA", "EWR")
 WORST_METRICS = {"wx_cancelled": "cancelled_weather", "wx_delay": "weather_delay_min_total"}
@@ -109,7 +111,7 @@ def causes_by_year(gold: DataFrame) -> DataFrame:
     return rows.select("year", half_up(F.col("w") / 60000.0, 1).alias("weather_khr"), half_up(F.col("n") / 60000.0, 1).alias("nas_khr")).orderBy("year")
 
 
-def weather_share(gold: DataFrame, since: str = "1997-06-01") -> DataFrame:
+def weather_share(gold: DataFrame, since: str = "2003-06-01") -> DataFrame:
     rows = gold.where(F.col("flight_date") >= F.lit(since).cast("date")).groupBy(F.year("flight_date").alias("yr")).agg(total("weather_delay_min_total").alias("w"), total("nas_delay_min_total").alias("n"))
     return rows.select("yr", half_up(F.col("w") / 60000, 1).alias("weather_khrs"), half_up(F.col("n") / 60000, 1).alias("nas_khrs"), half_up(share(F.col("w"), F.col("w") + F.col("n")) * 100, 1).alias("weather_pct_of_wx_nas")).orderBy("yr")
 
@@ -123,7 +125,7 @@ def month_pivot(gold: DataFrame) -> DataFrame:
     return rows.orderBy("mon").drop("mon")
 
 
-def monthly(gold: DataFrame, category: str | None = None, airport: str | None = None, since: int = 1992) -> DataFrame:
+def monthly(gold: DataFrame, category: str | None = None, airport: str | None = None, since: int = 2000) -> DataFrame:
     if category is not None and category not in weather.CATEGORIES:
         raise ValueError(f"category must be one of {weather.CATEGORIES}")
     if airport is not None and airport not in DESTINATIONS:
@@ -158,33 +160,56 @@ def _silver(spark: SparkSession, folder: str) -> DataFrame:
     return silver_ontime(views.ontime_bronze(spark, folder))
 
 
-def _gold(spark: SparkSession, folder: str) -> DataFrame:
-    return gold_day_delay(_silver(spark, folder), silver_metar(views.metar_raw(spark, folder)))
+def _metar(spark: SparkSession, folder: str) -> DataFrame:
+    return silver_metar(views.metar_raw(spark, folder))
+
+
+def silver_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The written silver layer: by year, rows of one destination together, as gold reads few destinations."""
+    return stored(spark, folder, "silver_ontime", ["lineitem"], lambda: _silver(spark, folder), lambda df, at: write_clustered(df, at, "dest", "year"))
+
+
+def metar_table(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(spark, folder, "silver_metar", ["orders"], lambda: _metar(spark, folder), lambda df, at: df.repartition("station").write.mode("overwrite").partitionBy("station").parquet(at))
+
+
+def gold_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The written gold mart, which the history queries read: a row per day and airport, whatever the number of flights."""
+    return stored(spark, folder, "gold_airport_day_delay", ["lineitem", "orders"], lambda: gold_day_delay(silver_table(spark, folder), metar_table(spark, folder)).repartition(1))
 
 
 def _on_gold(f, *args):
-    return lambda spark, folder: f(_gold(spark, folder), *args)
+    return lambda spark, folder: f(gold_table(spark, folder), *args)
 
 
+def maintenance(spark: SparkSession, folder: str) -> DataFrame:
+    """What a rebuild of silver leaves: rows in and out, the rows it has dropped, and years written."""
+    count, none = F.count(F.lit(1)), F.lit(0).cast("long")
+    read = views.ontime_bronze(spark, folder).agg(count.alias("rows_in"), none.alias("rows_out"), none.alias("years"))
+    left = silver_table(spark, folder).agg(none.alias("rows_in"), count.alias("rows_out"), F.countDistinct("year").alias("years"))
+    both = read.unionByName(left).agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", "years")])
+    return both.withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
 
 
 QUERIES = {
     "ontime_silver": _silver,
-    "metar_silver": lambda spark, folder: silver_metar(views.metar_raw(spark, folder)),
-    "gold_day_delay": _gold,
+    "metar_silver": _metar,
+    "gold_day_delay": lambda spark, folder: gold_day_delay(_silver(spark, folder), _metar(spark, folder)),
+    "gold_table": gold_table,
+    "silver_maintenance": maintenance,
     "staircase": _on_gold(staircase),
     "staircase_pivot": _on_gold(staircase_pivot),
     "worst_topn_per_airport": _on_gold(worst_per_airport),
     "worst_topk": _on_gold(worst_days, 12),
     "worst_topk_delay": _on_gold(worst_days, 50, "wx_delay"),
     "causes_by_year": _on_gold(causes_by_year),
-    "weather_share": _on_gold(weather_share),
+    "weather_share": _on_gold(weather_share, "1997-06-01"),
     "seasonality": _on_gold(seasonality),
     "month_pivot": _on_gold(month_pivot),
-    "monthly": _on_gold(monthly),
-    "monthly_filtered": _on_gold(monthly, "IFR", "JFK"),
+    "monthly": _on_gold(monthly, None, None, 1992),
+    "monthly_filtered": _on_gold(monthly, "IFR", "JFK", 1992),
     "monthly_band": _on_gold(monthly_band),
-    "volume_receipt": lambda spark, folder: volume_receipt(_silver(spark, folder), _gold(spark, folder)),
+    "volume_receipt": lambda spark, folder: volume_receipt(silver_table(spark, folder), gold_table(spark, folder)),
     "date_drill": _on_gold(date_drill, "1995-03-01", "1995-04-15"),
 }
 
@@ -217,6 +242,8 @@ SQL = {
     "ontime_silver": f"{_SO} SELECT * FROM so",
     "metar_silver": f"{views.with_views('mr')},\n{_METAR} SELECT * FROM mo",
     "gold_day_delay": f"{GOLD_SQL} SELECT * FROM gold",
+    "gold_table": f"{GOLD_SQL} SELECT * FROM gold",
+    "silver_maintenance": f"{_SO} SELECT (SELECT count(*) FROM bz) AS rows_in, count(*) AS rows_out, count(DISTINCT year) AS years, (SELECT count(*) FROM bz) - count(*) AS dropped FROM so",
     "staircase": f"""{GOLD_SQL} SELECT airport, worst_category, count(*) AS days, {half(avg('avg_arr_delay_min'), 1)} AS avg_delay_min, {half(avg('p90_arr_delay_min'), 1)} AS avg_p90_delay_min,
   {half(avg('(arrivals_delayed_15::DOUBLE / nullif(arrivals_scheduled, 0))') + ' * 100', 1)} AS pct_arrivals_late15 FROM gold WHERE worst_category IS NOT NULL GROUP BY 1, 2""",
     "staircase_pivot": f"{GOLD_SQL} SELECT worst_category, " + ", ".join(f"""{half(avg(f"(CASE WHEN airport = '{a}' THEN avg_arr_delay_min END)"), 1)} AS "{a}" """ for a in DESTINATIONS) + " FROM gold WHERE worst_category IS NOT NULL GROUP BY 1",

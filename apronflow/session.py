@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -35,7 +38,9 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, which all executors share.
 
-    Only where the session names none (tests on one machine) a temporary folder is made and set.
+    Only where the session names none and runs in this one process (tests, the bench) a temporary
+    folder is made, set, and deleted when the process ends; executors of a cluster would each see
+    their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -43,7 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     made = tempfile.mkdtemp(prefix="apronflow-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
     return made
 
@@ -71,7 +79,9 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(context.applicationId)
     home = Path(__file__).resolve().parent
-    out = Path(tempfile.mkdtemp(prefix="apronflow-code-")) / "apronflow.zip"
+    where = tempfile.mkdtemp(prefix="apronflow-code-")
+    atexit.register(shutil.rmtree, where, ignore_errors=True)
+    out = Path(where) / "apronflow.zip"
     with zipfile.ZipFile(out, "w") as z:
         for p in sorted(home.rglob("*.py")):
             z.write(p, p.relative_to(home.parent).as_posix())
