@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from apronflow.functions import weather
+from apronflow.operators.upsert import write_partitions
 
 #: The message contract: one row per position report.
 ENVELOPE = T.StructType([
@@ -87,9 +88,12 @@ def changes_only(polls: DataFrame, keys: list[str], signature: list[str], order:
 
 
 def tracks(spark: SparkSession, path: str) -> DataFrame:
-    """Newline-delimited messages to one row per aircraft with its pings in time order; unreadable lines are left out."""
+    """Newline-delimited messages, each with its place (from 1 on) in its aircraft's order of time; unreadable lines are left out.
+
+    Rows stay rows, so an aircraft may have any number of pings: its order is told by a sort that spills.
+    """
     rows = spark.read.schema(ENVELOPE).option("mode", "DROPMALFORMED").json(path).where(F.col("icao24").isNotNull())
-    return rows.groupBy("icao24").agg(F.array_sort(F.collect_list(F.struct("api_ts", "poll_ts", *[c for c in ENVELOPE.names if c not in ("api_ts", "poll_ts", "icao24")]))).alias("pings"))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("icao24").orderBy("api_ts", "poll_ts")))
 
 
 def report_csv(spark: SparkSession, pattern: str) -> DataFrame:
@@ -132,3 +136,16 @@ def zipped_csv(spark: SparkSession, folder: str, columns: list[str], loaded: Dat
 
     ddl = ", ".join(f"`{c}` string" for c in [*columns, "_ingest_ym"])
     return found.select("_ingest_ym", "content").mapInPandas(unzip, ddl)
+
+
+def bronze_ingest(spark: SparkSession, landing: str, bronze: str, columns: list[str]) -> DataFrame:
+    """Loads the months that have landed and are not in bronze yet; gives their months and rows.
+
+    Idempotent: a month is a partition that is written whole, and a second run finds nothing to do.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(bronze)
+    there = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+    loaded = spark.read.parquet(bronze).select("_ingest_ym").distinct() if there else spark.createDataFrame([], "_ingest_ym string")
+    done = [r[0] for r in loaded.collect()]  # a row per month
+    write_partitions(zipped_csv(spark, landing, columns, spark.createDataFrame([(m,) for m in done], "_ingest_ym string")), bronze, "_ingest_ym")
+    return spark.read.parquet(bronze).where(~F.col("_ingest_ym").isin(done)).groupBy("_ingest_ym").agg(F.count(F.lit(1)).alias("rows"))

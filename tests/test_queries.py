@@ -6,11 +6,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import __spark_entry__ as contract  # noqa: E402
-from apronflow.plans import lake, marts, readings, serving, tracks  # noqa: E402
+from apronflow.plans import lake, marts, readings, serving, sinks, tracks  # noqa: E402
 from oracle import connect, differences  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-MODULES = (readings, marts, lake, serving, tracks)
+MODULES = (readings, marts, lake, serving, tracks, sinks)
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the test tables")

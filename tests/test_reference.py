@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from apronflow.functions import geo, weather
 from apronflow.operators import late, quality, upsert
 from apronflow.plans import lake, serving
+from apronflow.plans.sinks import publish_history
 from apronflow.sources import envelope, exports
-from apronflow.streaming import pipelines, retractions
+from apronflow.streaming import pipelines, retractions, sinks
 from apronflow.streaming.tables import KeyedTable
 
 MILE = 1609.344
@@ -106,6 +107,49 @@ def test_month_archives(spark, tmp_path):
     assert envelope.months("1999-11", "2000-02") == ["1999-11", "1999-12", "2000-01", "2000-02"] and envelope.decades(1987, 2003) == [(1987, 1996), (1997, 2003)]
 
 
+def test_bronze_to_silver_end_to_end(spark, tmp_path):
+    """Archives land, are loaded once, a new month is added, a reload of a month replaces it, and silver keeps the latest version."""
+    names = ["FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest", "CRSDepTime", "ArrDelay", "ArrDel15", "Cancelled", "CancellationCode", "WeatherDelay", "NASDelay"]
+    leg = lambda number, delay, dest="JFK": f"2001-02-03,AA,{number},BOS,{dest},0900,{delay},0.00,0.00,,,"
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+
+    def land(ym, *legs):
+        (landing / f"ym={ym}").mkdir(parents=True, exist_ok=True)
+        with zipfile.ZipFile(landing / f"ym={ym}" / "m.zip", "w") as z:
+            z.writestr("data.csv", "\n".join([",".join(names), *legs]) + "\n")
+
+    run = lambda: sorted(map(tuple, envelope.bronze_ingest(spark, str(landing), bronze, names).collect()))
+    land("2001-02", leg(1, 5), leg(2, 7))
+    assert run() == [("2001-02", 2)] and run() == []
+    land("2001-03", leg(1, 9), leg(3, ""))
+    assert run() == [("2001-03", 2)] and spark.read.parquet(bronze).count() == 4
+    silver = lake.silver_ontime(spark.read.parquet(bronze))
+    assert sorted((r.flight_number, r.arr_delay_min) for r in silver.collect()) == [("1", 9.0), ("2", 7.0), ("3", None)]
+    out = str(tmp_path / "silver")
+    upsert.write_clustered(silver, out, "dest", "year")
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_a_failing_slice_costs_itself(spark, tmp_path):
+    def fails(s, f):
+        raise ValueError("no")
+
+    told = publish_history(spark, "", str(tmp_path / "h"), {"good": lambda s, f: s.range(3), "bad": fails})
+    assert told["good"] == "written" and told["bad"].startswith("failed") and spark.read.json(str(tmp_path / "h" / "good")).count() == 3
+
+
+def test_consumer_counts_what_it_cannot_write(spark, tmp_path):
+    good = '{"station": "KJFK", "obs_ts": "2001-01-01T00:00:00", "temp_c": %s}'
+    for i, lines in enumerate([[good % 1, "not json", "[1]", '{"station": "KJFK"}', '"text"'], [good % 2, good.replace("KJFK", "KLGA") % "null"]]):
+        (tmp_path / f"in{i}.txt").write_text("\n".join(lines) + "\n")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in*.txt"))
+    held = sinks.obs_table(spark, str(tmp_path / "t"))
+    for checkpoint in ("c", "d"):  # given again from the beginning, the table and the counts of a run are the same
+        sinks.consume(stream, held, str(tmp_path / f"n{checkpoint}"), str(tmp_path / checkpoint)).awaitTermination()
+        assert sorted((r.station, r.temp_c) for r in held.read().collect()) == [("KJFK", 2.0), ("KLGA", None)]
+        assert {r.outcome: r.n for r in sinks.drops(spark, str(tmp_path / f"n{checkpoint}")).collect()} == {"written": 3, "undecodable": 1, "non_object": 2, "unwritable": 1}
+
+
 def test_exports_come_back(spark, tmp_path):
     gold = spark.createDataFrame([("2001-09-11", "JFK", 12, 3.5, None), ("2001-09-12", "LGA", None, None, "IFR")], "flight_date string, airport string, cancelled int, avg_arr_delay_min double, worst_category string")
     seen, rows = exports.counted(gold, "gold", without_category=F.col("worst_category").isNull())
@@ -141,7 +185,7 @@ def test_three_streams_side_by_side(spark, tmp_path):
 
 def test_tracks(spark, tmp_path):
     (tmp_path / "t.json").write_text('{"icao24":"a","api_ts":5,"poll_ts":9}\nrubbish\n\n{"icao24":"a","api_ts":3,"poll_ts":9}\n{"api_ts":1}\n')
-    assert [[p.api_ts for p in r.pings] for r in envelope.tracks(spark, str(tmp_path)).collect()] == [[3, 5]]
+    assert sorted((r.icao24, r.place, r.api_ts) for r in envelope.tracks(spark, str(tmp_path)).collect()) == [("a", 1, 3), ("a", 2, 5)]
 
 
 def reports(spark, where, *rows):
