@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -206,6 +207,59 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     return held.read()
 
 
+def sample_tracks() -> list[tuple]:
+    """Messages of seven flights at KJFK that show what each rule tells, and what it does not.
+
+    t1 lands; t2 is lost on short final; t3 holds, then leaves; t4 goes around; t5 passes high over the
+    field; t6 taxies; t7 flies the racetrack of t3 as a light aircraft.
+    """
+    lat, lon = geo.AIRPORTS["KJFK"]
+    out = []
+
+    def ping(who: str, ts: int, dlat: float, dlon: float, alt: float | None, speed: float = 80.0, track: float = 220.0, climb: float | None = -4.0, ground: bool = False, category: int = 4) -> None:
+        out.append((ts + 1003, ts + 1000, who, "T1", lon + dlon, lat + dlat, alt, ground, speed, track, climb, category))
+
+    for i in range(10):
+        for who in ("t1", "t2"):
+            ping(who, 30 * i, 0.01 * (10 - i), 0.0, 900.0 - 80 * i)
+        ping("t5", 30 * i, 0.03 * i, 0.0, 9000.0, 220.0, climb=0.0)
+        ping("t6", 30 * i, 0.0, 0.0, None, 8.0, climb=None, ground=True)
+    for i in range(3):
+        ping("t1", 300 + 30 * i, 0.0, 0.0, None, 10.0, climb=None, ground=True)
+    for i in range(17):
+        angle = 2 * math.pi * i * 30 / 200
+        for who, category in (("t3", 4), ("t7", 8)):
+            ping(who, 30 * i, 0.03 * math.sin(angle), 0.03 * math.cos(angle), 2400.0, 120.0, math.degrees(-angle) % 360, 0.0, category=category)
+    for i in range(6):
+        for who, category in (("t3", 4), ("t7", 8)):
+            ping(who, 510 + 30 * i, 0.0, 0.05 * i, 2400.0, 120.0, 90.0, 0.0, category=category)
+    for i in range(8):
+        ping("t4", 30 * i, 0.01 * (8 - i), 0.0, 750.0 - 80 * i)
+    for i in range(6):
+        ping("t4", 240 + 30 * i, -0.01 * i, 0.0, 190.0 + 110 * i, climb=6.0)
+    return out
+
+
+TOLD = ("event_id", "icao24", "event_type", "airport", "event_ts", "duration_s")
+
+
+def detect_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of the sample tracks, as a batch."""
+    rows = spark.createDataFrame(sample_tracks(), envelope.ENVELOPE)
+    return events.detect(rows.withColumn("ts", F.col("api_ts"))).select(*TOLD)
+
+
+def stream_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The same events by the stream, over files of a hundred seconds each."""
+    where = _place(spark)
+    rows = spark.createDataFrame([*sample_tracks(), (9_003, 9_000, "end", None, 0.0, 0.0, None, False, None, None, None, None)], envelope.ENVELOPE)
+    for i, part in enumerate(sorted({r[1] // 100 for r in sample_tracks()} | {90})):
+        rows.where(F.floor(F.col("api_ts") / 100) == part).coalesce(1).write.parquet(f"{where}/in/{i:03d}")
+    held = pipelines.events_table(spark, f"{where}/events")
+    pipelines.detected_events(envelope.files(spark, f"{where}/in/*"), held, f"{where}/offsets").awaitTermination()
+    return held.read().select(*TOLD)
+
+
 def stream_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The changelog of message counts as the stream gives it; dropped records are added up."""
     where = _place(spark)
@@ -227,7 +281,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         flight_category, haversine_nearest, track_delta, event_ids, dead_reckon, latest_position, bronze_dedupe, gap_sessions, track_scan, upsert_guarded, upsert_partial, anti_loaded_months,
-        alert_changes, envelope_decode, state_vectors, unit_conversion, dq_unique, dq_accepted, dq_checks, detect_events, stream_dedupe, stream_latest, stream_events, stream_changes, stream_retractions,
+        alert_changes, envelope_decode, state_vectors, unit_conversion, dq_unique, dq_accepted, dq_checks, detect_events, detect_sample, stream_sample, stream_dedupe, stream_latest, stream_events, stream_changes, stream_retractions,
     )
 } | {"detect_arrival": _kind("arrival"), "detect_holding": _kind("holding"), "detect_goaround": _kind("go_around")}
 
@@ -241,6 +295,10 @@ _CODE = "CASE least(d0, d1, d2) WHEN d0 THEN 'KJFK' WHEN d1 THEN 'KLGA' ELSE 'KE
 _NN = lambda c: f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}"
 _DEDUPE = f"SELECT DISTINCT icao24, ts, lat, lon, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y-%m-%d') AS dt, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%H') AS hr FROM (SELECT {_ID}, lat, lon FROM state_messages WHERE {_PLACED})"
 
+#: What the rules must tell of the sample tracks: kind, begin of the approach or event (its identity), time, duration.
+_SAMPLE = """SELECT substr(sha1(icao24 || '|' || event_type || '|' || start), 1, 16) AS event_id, icao24, event_type, 'KJFK' AS airport, event_ts::BIGINT AS event_ts, duration_s::INTEGER AS duration_s FROM (VALUES
+  ('t1', 'arrival', 1120, 1300, NULL), ('t2', 'arrival', 1120, 1270, NULL), ('t3', 'holding', 1000, 1000, 600), ('t4', 'go_around', 1240, 1240, NULL)) v(icao24, event_type, start, event_ts, duration_s)"""
+
 SQL = {
     "flight_category": f"{_W('ob')} SELECT station, obs_ts, ceiling_ft, visibility_m, flight_category FROM ob",
     "haversine_nearest": f"{_W('ls')} SELECT icao24, {_CODE} AS airport, {_R('least(d0, d1, d2)', 5)} AS dist_km FROM (SELECT icao24, {_NEAR} FROM ls)",
@@ -275,6 +333,8 @@ SELECT a.event_id, a.callsign, z.duration_s, z.details FROM a JOIN z USING (even
 UNION ALL SELECT 'callsign_not_null', count(*) FILTER (callsign IS NULL) FROM flight_events UNION ALL SELECT 'detected_after_event', count(*) FILTER (NOT coalesce(detected_at >= event_ts, false)) FROM flight_events""",
     "stream_latest": f"{_W('ls')} SELECT icao24, ts, lat, lon, baro_alt_m, on_ground, velocity_ms, track_deg, vrate_ms, category FROM ls",
     "stream_dedupe": _DEDUPE,
+    "detect_sample": _SAMPLE,
+    "stream_sample": _SAMPLE,
     "stream_changes": changelog_sql("icao24, period_s, version, at_s, sign, n", "src = 'state_messages'"),
     "stream_retractions": f"""WITH r AS (SELECT icao24, ts, min(poll_ts) AS a FROM (SELECT {_ID}, poll_ts FROM state_messages WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL AND poll_ts IS NOT NULL) GROUP BY 1, 2)
 SELECT icao24, ts // 3600 * 3600 AS period_s, count(*) AS n FROM r WHERE a <= ts // 3600 * 3600 + 3600 + 21600 GROUP BY 1, 2""",

@@ -13,8 +13,10 @@ import math
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-#: The airports' reference points, and the thresholds of the rules.
-FIELDS = (("KJFK", 40.6413, -73.7781), ("KLGA", 40.7769, -73.8740), ("KEWR", 40.6895, -74.1745))
+from apronflow.functions.geo import AIRPORTS
+
+FIELDS = tuple((code, lat, lon) for code, (lat, lon) in AIRPORTS.items())
+#: The thresholds of the rules.
 EARTH_KM = 6371.0
 KEPT = 20
 LOST_S = 90

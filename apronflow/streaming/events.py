@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from apronflow.operators.sessions import sessionize
-from apronflow.streaming.detectors import LOST_S, Flight, Ping
+from apronflow.streaming.detectors import APPROACH_M, FIELDS, HOLD_ALTITUDE, HOLD_SPEED, LOST_S, Flight, Ping
 
 EVENTS_DDL = "event_id string, icao24 string, callsign string, event_type string, airport string, event_ts long, duration_s int, details string"
 EVENTS = pa.schema([("event_id", pa.string()), ("icao24", pa.string()), ("callsign", pa.string()), ("event_type", pa.string()), ("airport", pa.string()), ("event_ts", pa.int64()), ("duration_s", pa.int32()), ("details", pa.string())])
+#: Degrees of latitude and longitude that hold every rule's distance from an airport.
+BOX_DEG = (0.12, 0.16)
 MESSAGE = ("api_ts", "callsign", "lat", "lon", "baro_alt_m", "on_ground", "velocity_ms", "track_deg", "vrate_ms", "category")
 
 
@@ -36,16 +38,32 @@ def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=EVENTS)
 
 
+def _possible(rows: DataFrame) -> DataFrame:
+    """The sessions that may hold an event: some ping low or on the ground in a box about an airport, or enough in the holding band.
+
+    A superset, told by a hash aggregation of columns alone, so that the pings of all others stay out of Python.
+    """
+    low = F.coalesce(F.col("on_ground"), F.lit(False)) | F.coalesce(F.col("baro_alt_m") < APPROACH_M, F.lit(False))
+    near = F.lit(False)
+    for _, lat, lon in FIELDS:
+        near = near | ((F.abs(F.col("lat") - lat) <= BOX_DEG[0]) & (F.abs(F.col("lon") - lon) <= BOX_DEG[1]))
+    band = F.col("baro_alt_m").between(*HOLD_ALTITUDE) & F.col("velocity_ms").between(*HOLD_SPEED)
+    flags = rows.groupBy("icao24", "session_s").agg(F.max(near & low).alias("near"), F.count_if(band).alias("band"))
+    return flags.where(F.col("near") | (F.col("band") >= 4)).select("icao24", "session_s")
+
+
 def detect(readings: DataFrame) -> DataFrame:
     """Events of all flights, as the stream would find them over the same messages.
 
     readings: icao24, ts and the message's measurements. A silence of over LOST_S resets everything
     the detectors know, so sessions between silences are independent and go to different tasks; a
-    session's pings stream through in order. Equal events (by event_id) are given once: the first
-    told of them. Rows without a position are left out.
+    session's pings stream through in order, those of sessions that cannot hold an event are left out
+    before. Equal events (by event_id) are given once: the first told of them. Rows without a position
+    are left out.
     """
     rows = readings.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).withColumn("api_ts", F.col("ts"))
     rows = sessionize(rows.select("icao24", "ts", *MESSAGE), "icao24", "ts", LOST_S)
+    rows = rows.join(_possible(rows), ["icao24", "session_s"], "left_semi")
     laid = rows.select("icao24", "session_s", *MESSAGE).repartition("icao24", "session_s").sortWithinPartitions("icao24", "session_s", "api_ts")
     found = laid.mapInArrow(_walk, EVENTS_DDL)
     rest = [c for c in found.columns if c != "event_id"]

@@ -27,7 +27,7 @@ def test_equals_sql(spark, con, name):
     assert not extra and not missing, (list(extra.items())[:3], list(missing.items())[:3])
 
 
-@pytest.mark.parametrize("name", ["stream_dedupe", "stream_latest", "stream_changes", "stream_retractions"])
+@pytest.mark.parametrize("name", ["stream_sample", "stream_dedupe", "stream_latest", "stream_changes", "stream_retractions"])
 def test_streams_equal_sql(spark, con, name):
     extra, missing = differences(QUERIES[name](spark, FOLDER), con, SQL[name])
     assert not extra and not missing
@@ -35,11 +35,12 @@ def test_streams_equal_sql(spark, con, name):
 
 def test_stream_and_batch_detect_alike(spark):
     key = lambda r: (r.event_id, r.event_type, r.airport, r.event_ts)
-    assert {key(r) for r in QUERIES["stream_events"](spark, FOLDER).collect()} <= {key(r) for r in QUERIES["detect_events"](spark, FOLDER).collect()}
+    stream, batch = ({key(r) for r in QUERIES[q](spark, FOLDER).collect()} for q in ("stream_events", "detect_events"))
+    assert stream and stream == batch
 
 
 def test_contract(spark):
-    assert contract.entry(spark).count() >= 0
+    assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(QUERIES) <= set(contract.queries())
 
