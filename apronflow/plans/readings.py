@@ -33,6 +33,14 @@ def p1_grid(spark: SparkSession, folder: str) -> DataFrame:
     return weather_grid(spark, folder).withColumnRenamed("source", "station")
 
 
+def p1_known(spark: SparkSession, folder: str) -> DataFrame:
+    """The slots that are not filled, with their values: what the imputation must leave as it is."""
+    marked = weather_grid(spark, folder)
+    field = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).alias("value"), F.col(f"{c}_filled").alias("filled"))
+    rows = marked.select(F.col("source").alias("station"), "slot_ts", F.explode(F.array(field("visibility_m"), field("ceiling_ft"))).alias("x"))
+    return rows.where(~F.col("x.filled")).select("station", "slot_ts", "x.field", F.floor(F.col("x.value") * 100 + 0.5).alias("hundredths"))
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     marked = weather_grid(spark, folder)
     names = F.array_compact(F.array(F.when(F.col("visibility_m_filled"), F.lit("visibility_m")), F.when(F.col("ceiling_ft_filled"), F.lit("ceiling_ft"))))
@@ -102,7 +110,7 @@ def p7_kept(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_grid, p2_found, p4_found, p4_trips, p5_found, p5_flags, p6_found, p6_changes, p7_found, p7_kept)
+    f.__name__: f for f in (p1_found, p1_grid, p1_known, p2_found, p4_found, p4_trips, p5_found, p5_flags, p6_found, p6_changes, p7_found, p7_kept)
 }
 
 _MESSAGES = """
@@ -135,6 +143,11 @@ SELECT {columns} FROM q"""
 
 SQL: dict[str, str] = {
     "p6_changes": changelog_sql("*"),
+    "p1_known": """
+WITH o AS (SELECT upper(regexp_replace(station, '\\s', '', 'g')) AS station, epoch(obs_ts)::BIGINT // 3600 * 3600 AS slot_ts, CASE WHEN visibility_m BETWEEN 0 AND 100000 AND NOT isnan(visibility_m) THEN visibility_m END AS v,
+  CASE WHEN ceiling_ft BETWEEN 0 AND 60000 AND NOT isnan(ceiling_ft) THEN ceiling_ft END AS c FROM weather_obs WHERE station IS NOT NULL AND obs_ts IS NOT NULL),
+g AS (SELECT station, slot_ts, round(avg(v), 3) AS v, round(avg(c), 3) AS c FROM o GROUP BY 1, 2)
+SELECT station, slot_ts, 'visibility_m' AS field, floor(v * 100 + 0.5)::BIGINT AS hundredths FROM g WHERE v IS NOT NULL UNION ALL SELECT station, slot_ts, 'ceiling_ft', floor(c * 100 + 0.5)::BIGINT FROM g""",
     "p1_found": """
 WITH o AS (SELECT upper(regexp_replace(station, '\\s', '', 'g')) AS station, epoch(obs_ts)::BIGINT // 3600 * 3600 AS h, visibility_m FROM weather_obs WHERE station IS NOT NULL AND obs_ts IS NOT NULL),
 span AS (SELECT station, min(h) AS lo, max(h) AS hi FROM o GROUP BY station),
