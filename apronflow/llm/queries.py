@@ -37,9 +37,33 @@ def p10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.pieces(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p8_ids, p9_packed, p10_pieces)}
+def p9_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of any packing: containers over the capacity, documents packed, and those split although they would fit."""
+    parts = p9_packed(spark, folder)
+    count = lambda c: F.count_if(c)
+    full = parts.groupBy("container").agg(F.sum("tokens").alias("held")).agg(count(F.col("held") > packing.CAPACITY).alias("over_capacity"), F.lit(0).cast("long").alias("documents"), F.lit(0).cast("long").alias("split_small"))
+    own = parts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("tokens").alias("n"))
+    own = own.agg(F.lit(0).cast("long").alias("over_capacity"), F.count(F.lit(1)).alias("documents"), count((F.col("pieces") > 1) & (F.col("n") <= packing.CAPACITY)).alias("split_small"))
+    return full.unionByName(own).agg(*[F.sum(c).alias(c) for c in ("over_capacity", "documents", "split_small")])
+
+
+def p10_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of any splitting: documents cut, pieces over the limit, and documents that their pieces do not give back."""
+    documents, rule = table(spark, folder, "documents"), splitting.Split()
+    got = splitting.pieces(documents.select("doc_id", "text"))
+    fresh = F.when(F.col("piece") == 0, F.col("ids")).otherwise(F.slice("ids", rule.overlap + 1, F.greatest(F.size("ids") - rule.overlap, F.lit(0))))
+    # a document's own pieces, which are as long as its text
+    whole = got.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", fresh.alias("ids")))).alias("p"), F.count_if(F.col("tokens") > rule.limit).alias("long"))
+    back = tokens.decoded(whole.select("doc_id", F.flatten(F.col("p.ids")).alias("ids"))).withColumnRenamed("text", "back")
+    both = documents.where(F.length("text") > 0).select("doc_id", "text").join(back, "doc_id", "left").join(whole.select("doc_id", "long"), "doc_id", "left")
+    return both.agg(F.count(F.lit(1)).alias("documents"), F.sum("long").alias("too_long"), F.count_if(~F.col("text").eqNullSafe(F.col("back"))).alias("not_given_back"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p8_ids, p9_packed, p9_checked, p10_pieces, p10_checked)}
 
 SQL: dict[str, str] = {
+    "p9_checked": "SELECT 0::BIGINT AS over_capacity, count(*) AS documents, 0::BIGINT AS split_small FROM documents WHERE text <> ''",
+    "p10_checked": "SELECT count(*) AS documents, 0::BIGINT AS too_long, 0::BIGINT AS not_given_back FROM documents WHERE text <> ''",
     "p3_found": """
 WITH e AS (SELECT DISTINCT event_id, event_type, lower(regexp_replace(icao24, '\\s', '', 'g')) AS icao24, upper(regexp_replace(airport, '\\s', '', 'g')) AS airport, epoch(event_ts)::BIGINT AS t FROM flight_events),
 o AS (SELECT DISTINCT upper(regexp_replace(station, '\\s', '', 'g')) AS station, epoch(obs_ts)::BIGINT AS t FROM weather_obs),
