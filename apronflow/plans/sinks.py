@@ -11,7 +11,7 @@ from apronflow.functions import geo
 from apronflow.operators import keys
 from apronflow.operators.upsert import greatest_per_key
 from apronflow.plans import lake, marts, serving
-from apronflow.session import checkpoint_dir
+from apronflow.session import scratch
 from apronflow.sources import envelope, exports, views
 from apronflow.sources.tables import table
 from apronflow.streaming import sinks
@@ -20,7 +20,7 @@ MEASURES = ("temp_c", "wind_speed_kmh", "wind_gust_kmh", "wind_dir_deg", "visibi
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 def _messages(spark: SparkSession, folder: str, name: str) -> DataFrame:

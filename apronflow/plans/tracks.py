@@ -14,7 +14,7 @@ from apronflow.functions.common import event_id, half_up
 from apronflow.operators import keys, quality
 from apronflow.operators.sessions import sessionize
 from apronflow.operators.upsert import latest_per_key, newest_wins, overwrite
-from apronflow.session import checkpoint_dir
+from apronflow.session import scratch
 from apronflow.sources import envelope, views
 from apronflow.plans.readings import changelog_sql
 from apronflow.sources.tables import readings, table
@@ -184,7 +184,7 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _place(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return scratch(spark, f"stream-{uuid.uuid4().hex}")
 
 
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:

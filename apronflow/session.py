@@ -56,6 +56,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of this name below the shared one, for what a query writes and reads; deleted when the application ends."""
+    where = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return where
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder; survives the loss of executors."""
     spark = df.sparkSession

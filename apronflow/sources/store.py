@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from apronflow.session import checkpoint_dir
+from apronflow.session import scratch
 
 
 def _state(spark: SparkSession, folder: str, inputs: Sequence[str]) -> str:
@@ -29,7 +29,7 @@ def stored(spark: SparkSession, folder: str, name: str, inputs: Sequence[str], b
     write puts the frame at a path (plain Parquet by default). A table without _SUCCESS is one whose
     writing broke off, and is written again.
     """
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}/{name}-{_state(spark, folder, inputs)}"
+    path = scratch(spark, f"tables-{spark.sparkContext.applicationId}/{name}-{_state(spark, folder, inputs)}")
     done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
         (write or (lambda df, at: df.write.mode("overwrite").parquet(at)))(build(), path)
