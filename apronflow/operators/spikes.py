@@ -54,7 +54,7 @@ def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: i
     before, and back from the two after. The distance is that from the first, unless the others lie
     nearer (an ordinary bend of the course explains the reading from one side) by more than BEND
     allows; with level, it is at least the lesser distance to both neighbours, if the reading lies
-    beyond both. (A slope's turning point, as in a go-around, lies beyond both and is no spike.) It is 0 where the ways disagree about its sign or a neighbour is more than a silence away. For
+    beyond both. (A slope's turning point, as in a go-around, lies beyond both and is no spike.) It is 0 where the ways disagree about its sign or two of the readings from the one before to the one after follow each other by more than a silence. For
     two readings it is the lesser of theirs.
     """
     n = len(t)
@@ -71,10 +71,13 @@ def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: i
     (t1, v1), (t2, v2), (n1t, n1), (n2t, n2) = near(-1), near(-2), near(width), near(width + 1)
     worst = np.full(n, np.inf)
     up = None
+    unbroken = np.ones(n, bool)  # from the reading before to the one after no two consecutive ones are a silence apart
     with np.errstate(all="ignore"):
         back, ahead = (v1 - v2) / (t1 - t2), (n2 - n1) / (n2t - n1t)
         back[~(t1 - t2 <= silence)] = np.nan
         ahead[~(n2t - n1t <= silence)] = np.nan
+        for k in range(width + 1):
+            unbroken &= near(k)[0] - near(k - 1)[0] <= silence
         for k in range(width):
             tk, vk = (t, v) if k == 0 else near(k)
             between = vk - (v1 + (n1 - v1) * (tk - t1) / (n1t - t1))
@@ -85,8 +88,10 @@ def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: i
             one, other = vk - v1, vk - n1
             if level:
                 least = np.maximum(least, np.where(one * other > 0, np.minimum(np.abs(one), np.abs(other)), 0))
-            inside = (tk - t1 <= silence) & (n1t - tk <= silence)
-            least = np.where(inside & (True if up is None else up == (between > 0)), least, 0)
+                # a level that goes on from either side and then changes for good explains the reading too
+                for side in (one, other):
+                    least = np.minimum(least, np.where(side * between > 0, np.abs(side) / STEP_SHARE, 0))
+            least = np.where(unbroken & (True if up is None else up == (between > 0)), least, 0)
             up = between > 0 if up is None else up
             worst = np.minimum(worst, least)
     return worst
@@ -94,6 +99,8 @@ def course(seg: np.ndarray, t: np.ndarray, v: np.ndarray, silence: int, width: i
 
 #: Share of its distance from the line between its neighbours that a reading must keep from the lines on either side.
 BEND = 0.75
+#: With level, the share that it must keep from the values on either side.
+STEP_SHARE = 0.5
 
 #: States of the model: normal, spike, stuck, out of range.
 START = np.array([0.97, 0.01, 0.01, 0.01])
@@ -182,7 +189,9 @@ def flag(seg: np.ndarray, t: np.ndarray, v: np.ndarray, flying: np.ndarray, thre
         pair = (seg[1:] == seg[:-1]) & (v[1:] == v[:-1]) & flying[1:] & flying[:-1]
         same[1:] |= pair
         same[:-1] |= pair
-    alive = np.flatnonzero(~outside)
+    # impossible and stuck values tell nothing of the course around them
+    frozen = stuck_runs(seg, v, flying, rules.stuck_run)
+    alive = np.flatnonzero(~outside & ~frozen)
     spiked = np.zeros(n, bool)
     p, judged = np.zeros((n, 4)), np.arange(n)
     # a spike hides or feigns others beside it: the strongest go first, then the rest of their sources is judged anew,
@@ -215,7 +224,7 @@ def flag(seg: np.ndarray, t: np.ndarray, v: np.ndarray, flying: np.ndarray, thre
         busy = np.isin(seg, s[found])
         judged, alive = np.flatnonzero(busy), alive[~found & busy[alive]]
     reason[spiked] = 1
-    reason[stuck_runs(seg, v, flying, rules.stuck_run) & likely_stuck & ~spiked if n else spiked] = 2
+    reason[frozen & likely_stuck & ~spiked if n else spiked] = 2
     reason[outside & (np.argmax(p, 1) == 3) if n else outside] = 3
     return reason, sure
 

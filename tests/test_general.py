@@ -250,6 +250,28 @@ def test_ordinary_changes_are_no_spikes(spark):
     assert spikes.implausible(spark.createDataFrame([tuple(x) for x in raw], MEASURED), SPIKE_RULES).count() == 0
 
 
+def test_a_pair_counts_its_silences_one_by_one(spark):
+    raw = cruise()
+    for x in raw[101:]:
+        x[1] += 250  # 280 s after the pair's second reading comes the next one, over 300 s after its first
+    raw[99][4] += 90
+    raw[100][4] += 92
+    raw[200][5] += 40
+    for x in raw[201:]:
+        x[1] += 300  # here the next reading comes after a silence
+    df = spark.createDataFrame([tuple(x) for x in raw], MEASURED)
+    assert rows(spikes.implausible(df, SPIKE_RULES), "ts", "field", "reason") == [(99 * 30, "velocity_ms", "spike"), (100 * 30, "velocity_ms", "spike")]
+
+
+def test_steps_and_the_ends_of_stuck_values_are_no_spikes(spark):
+    speeds = [132.5, 125.4, 119.5, 105.6, 96.4, 84.0, 15.2, 12.3, 15.5, 15.3, 15.0, 14.2, 12.8, 77.3, 94.9, 116.5, 130.6]
+    at = [0, 32, 63, 90, 161, 194, 225, 262, 298, 332, 366, 402, 439, 483, 533, 580, 627]
+    raw = [("a", t, 6 <= i <= 12, None, v, None) for i, (t, v) in enumerate(zip(at, speeds, strict=True))]
+    raw += [("b", 40 * i, False, 4793.9, 116.9, None) for i in range(12)] + [("b", 520, False, 1081.4, 221.5, None), ("b", 561, False, 626.5, 219.8, None), ("b", 592, False, 269.0, 219.5, None)]
+    got = spikes.implausible(spark.createDataFrame(raw, MEASURED), SPIKE_RULES)
+    assert rows(got, "icao24", "ts", "field", "reason") == sorted(("b", 40 * i, f, "stuck") for i in range(12) for f in ("baro_alt_m", "velocity_ms"))
+
+
 def test_forward_backward_equals_the_plain_recursion():
     rng = np.random.default_rng(0)
     e = rng.random((700, 4)) + 0.05
