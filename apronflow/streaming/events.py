@@ -8,7 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from apronflow.operators.sessions import sessionize
 from apronflow.streaming.detectors import APPROACH_M, FIELDS, HOLD_ALTITUDE, HOLD_SPEED, LOST_S, Flight, Ping
@@ -70,43 +70,89 @@ def detect(readings: DataFrame) -> DataFrame:
     return found.groupBy("event_id").agg(F.min(F.struct("event_ts", *[c for c in rest if c != "event_ts"])).alias("x")).select("event_id", *[f"x.{c}" for c in rest])
 
 
-def _advance(clock: str):
-    def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        flight = Flight.load(state.get[0]) if state.exists else Flight(key[0])
-        out: list[dict] = []
-        if state.hasTimedOut:
-            out = flight.lost()
-            state.remove()
-        else:
-            pings = [p for f in frames for r in f.to_dict("records") if (p := Ping.of(r)) is not None]
-            for p in sorted(pings, key=lambda p: p.ts):
-                out += flight.feed(p)
-            if flight.pings:
-                state.update((flight.dump(),))
-                if clock == "processing":
-                    state.setTimeoutDuration(LOST_S * 1000)
-                else:
-                    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, (flight.pings[-1].ts + LOST_S) * 1000))
-        if out:
-            once = {e["event_id"]: e for e in reversed(out)}
-            frame = pd.DataFrame(list(once.values()))
-            frame["duration_s"] = frame["duration_s"].astype("Int32")
-            yield frame
+#: Typed state of an aircraft: its newest pings, when what was told of which airport, and the holding that goes on.
+PINGS_DDL = "ts long, lat double, lon double, alt double, speed double, track double, climb double, ground boolean, category int, callsign string"
+TOLD_KEY_DDL, TOLD_DDL = "kind string, airport string", "ts long"
+HOLD_DDL = "start long, last long, turn double"
+
 
-    return work
+class Tracker(StatefulProcessor):
+    """Feeds an aircraft's pings to its flight and keeps the flight's state between batches.
+
+    One timer runs per aircraft, LOST_S behind its last ping on the query's clock; when it fires the
+    flight is taken as lost and its state goes.
+    """
+
+    def __init__(self, clock: str) -> None:
+        self.clock = clock
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pings, self.told, self.hold = handle.getListState("pings", PINGS_DDL), handle.getMapState("told", TOLD_KEY_DDL, TOLD_DDL), handle.getValueState("hold", HOLD_DDL)
+
+    def _flight(self, icao24: str) -> Flight:
+        flight = Flight(icao24)
+        if self.pings.exists():
+            flight.pings = [Ping(*p) for p in self.pings.get()]
+        if self.told.exists():
+            for (kind, airport), (ts,) in self.told.iterator():
+                flight.told[kind][airport] = ts
+        if self.hold.exists():
+            flight.hold = dict(zip(("start", "last", "turn"), self.hold.get(), strict=True))
+        return flight
+
+    def _keep(self, flight: Flight) -> None:
+        self.pings.put([tuple(p) for p in flight.pings])
+        self.told.clear()
+        for kind, airports in flight.told.items():
+            for airport, ts in airports.items():
+                self.told.updateValue((kind, airport), (ts,))
+        if flight.hold:
+            self.hold.update((flight.hold["start"], flight.hold["last"], float(flight.hold["turn"])))
+        else:
+            self.hold.clear()
+
+    def _forget(self) -> None:
+        self.pings.clear(), self.told.clear(), self.hold.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802 - the interface's name
+        flight, out = self._flight(key[0]), []
+        pings = [p for f in rows for r in f.to_dict("records") if (p := Ping.of(r)) is not None]
+        for p in sorted(pings, key=lambda p: p.ts):
+            out += flight.feed(p)
+        if flight.pings:
+            self._keep(flight)
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if self.clock == "processing":
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + LOST_S * 1000)
+            else:
+                self.handle.registerTimer(max(timerValues.getCurrentWatermarkInMs() + 1, (flight.pings[-1].ts + LOST_S) * 1000))
+        yield from _frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802 - the interface's name
+        out = self._flight(key[0]).lost()
+        self._forget()
+        yield from _frame(out)
+
+
+def _frame(out: list[dict]) -> Iterator[pd.DataFrame]:
+    if out:
+        once = {e["event_id"]: e for e in reversed(out)}
+        yield pd.DataFrame(list(once.values())).astype({"duration_s": "Int32"})
 
 
 def detect_stream(messages: DataFrame, clock: str = "processing", lateness: str = "2 minutes") -> DataFrame:
-    """The streaming twin of detect: keyed state per aircraft, in update mode.
+    """The streaming twin of detect: typed keyed state per aircraft in a RocksDB store, in update mode.
 
     An aircraft is lost after LOST_S without a message: of processing time when live, or (clock
     "event") of event time behind the watermark when a replay must end by itself.
     """
     if clock not in ("processing", "event"):
         raise ValueError("clock must be processing or event")
-    rows = messages.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = messages.where(F.col("icao24").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
     if clock == "event":
         rows = rows.withWatermark("api_time", lateness)
     rows = rows.select("icao24", *MESSAGE, *(["api_time"] if clock == "event" else []))
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if clock == "processing" else GroupStateTimeout.EventTimeTimeout
-    return rows.groupBy("icao24").applyInPandasWithState(_advance(clock), EVENTS_DDL, "flight string", "update", timeout)
+    return rows.groupBy("icao24").transformWithStateInPandas(Tracker(clock), EVENTS_DDL, "Update", "ProcessingTime" if clock == "processing" else "EventTime")
