@@ -9,6 +9,7 @@ from apronflow.functions import geo, weather
 from apronflow.functions.common import bucket, half_up, mean, share
 from apronflow.operators import asof
 from apronflow.sources import views
+from apronflow.sources.store import stored
 
 WEATHER = ["flight_category", "wind_speed_kmh", "wind_gust_kmh", "visibility_m", "ceiling_ft", "precip_last_hr_mm"]
 HOUR = 3600
@@ -92,7 +93,7 @@ def detection_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def weather_impact(spark: SparkSession, folder: str) -> DataFrame:
     """Rates per airport, category and wind bucket over the hours seen in each."""
-    hours = airport_hourly(spark, folder).where(F.col("flight_category").isNotNull())
+    hours = mart_table(spark, folder, "airport_hourly").where(F.col("flight_category").isNotNull())
     hours = hours.withColumn("wind_bucket", weather.wind_bucket(weather.effective_wind(F.col("wind_gust_kmh"), F.col("wind_speed_kmh"))))
     return hours.groupBy("airport", "flight_category", "wind_bucket").agg(
         F.count(F.lit(1)).alias("airport_hours"),
@@ -105,6 +106,16 @@ def weather_impact(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Tables that the marts are built from.
+SOURCES = ["flight_events", "arrivals_reported", "weather_obs", "weather_alerts"]
+
+
+def mart_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A mart as a table: the boards read what is written, where staging and intermediate relations stay views."""
+    build = {"airport_hourly": airport_hourly, "detection_quality": detection_quality, "weather_impact": weather_impact}[name]
+    return stored(spark, folder, name, SOURCES, lambda: build(spark, folder))
+
+
 QUERIES = {f.__name__: f for f in (hours_spine, weather_hourly, airport_hourly, events_enriched, detection_quality, weather_impact)}
 
 

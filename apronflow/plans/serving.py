@@ -157,7 +157,7 @@ def wind_scatter(spark: SparkSession, folder: str, days: int = 7, category: str
     in_range("days", days, 1, 90)
     if category is not None and category not in weather.CATEGORIES:
         raise ValueError(f"category must be one of {weather.CATEGORIES}")
-    hours = marts.airport_hourly(spark, folder)
+    hours = marts.mart_table(spark, folder, "airport_hourly")
     wind = weather.effective_wind(F.col("wind_gust_kmh"), F.col("wind_speed_kmh"))
     as_of = newest(marts.hours_spine(spark, folder), "hour_ts")
     rows = hours.where((F.col("hour_ts") > back(as_of, 24 * days)) & wind.isNotNull())
@@ -168,7 +168,7 @@ def wind_scatter(spark: SparkSession, folder: str, days: int = 7, category: str
 def quality_series(spark: SparkSession, folder: str, days: int = 30) -> DataFrame:
     """Precision and recall by day as one series per airport and measure; unscored days keep their nulls."""
     in_range("days", days, 1, 90)
-    q = marts.detection_quality(spark, folder)
+    q = marts.mart_table(spark, folder, "detection_quality")
     rows = q.where(F.col("quality_date") > F.date_sub(newest(q, "quality_date"), days))
     series = F.array(*[F.struct(F.concat("airport", F.lit(f" {m}")).alias("metric"), F.col(m).alias("value")) for m in ("precision", "recall")])
     return rows.select("quality_date", F.explode(series).alias("s")).select("quality_date", "s.metric", "s.value")
@@ -176,7 +176,7 @@ def quality_series(spark: SparkSession, folder: str, days: int = 30) -> DataFram
 
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     """The latest scored day against the targets; a missing recall does not meet them."""
-    q = marts.detection_quality(spark, folder)
+    q = marts.mart_table(spark, folder, "detection_quality")
     scored = q.where(F.col("precision").isNotNull())
     met = (F.col("precision") >= TARGETS["precision"]) & (F.coalesce("recall", F.lit(0.0)) >= TARGETS["recall"])
     rows = scored.where(F.col("quality_date") == newest(scored, "quality_date"))
@@ -185,7 +185,7 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def impact_table(spark: SparkSession, folder: str) -> DataFrame:
     order = [F.col("airport"), weather.rank_in(F.col("flight_category"), *weather.CATEGORIES), weather.rank_in(F.col("wind_bucket"), "calm", "breezy", "windy", "unknown")]
-    return marts.weather_impact(spark, folder).orderBy(*order)
+    return marts.mart_table(spark, folder, "weather_impact").orderBy(*order)
 
 
 def alert_annotations(spark: SparkSession, folder: str, hours: int = 48) -> DataFrame:

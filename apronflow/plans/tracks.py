@@ -68,14 +68,14 @@ def track_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Kind of each track with eight positions or more, by its last position and whether it was ever in the air."""
     rows = readings(table(spark, folder, "state_messages"), *MEASURES).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).dropDuplicates(["icao24", "ts"])
     t = rows.groupBy("icao24").agg(
-        F.count(F.lit(1)).alias("n"), F.max_by(F.struct("lat", "lon", "on_ground", "baro_alt_m"), "ts").alias("last"), F.bool_or(~F.col("on_ground")).alias("flew"),
+        F.count(F.lit(1)).alias("n"), *[F.max_by(c, "ts").alias(f"last_{c}") for c in ("lat", "lon", "on_ground", "baro_alt_m")], F.bool_or(~F.col("on_ground")).alias("flew"),
         F.bool_and("on_ground").alias("only_ground"), F.min(F.when(~F.col("on_ground"), F.coalesce("baro_alt_m", F.lit(9e9)))).alias("low"), (F.max("ts") - F.min("ts")).alias("span_s"),
     ).where(F.col("n") >= 8)
-    near = geo.nearest_airport(F.col("last.lat"), F.col("last.lon"))
-    t = t.withColumn("near", near).withColumn("alt", F.coalesce("last.baro_alt_m", F.lit(9e9)))
+    near = geo.nearest_airport(F.col("last_lat"), F.col("last_lon"))
+    t = t.withColumn("near", near).withColumn("alt", F.coalesce("last_baro_alt_m", F.lit(9e9)))
     kind = (
-        F.when(F.col("last.on_ground") & F.col("flew") & (F.col("near.dist_km") < 4), "arrival")
-        .when(~F.col("last.on_ground") & (F.col("alt") < 450) & (F.col("near.dist_km") < 5), "coverage_loss")
+        F.when(F.col("last_on_ground") & F.col("flew") & (F.col("near.dist_km") < 4), "arrival")
+        .when(~F.col("last_on_ground") & (F.col("alt") < 450) & (F.col("near.dist_km") < 5), "coverage_loss")
         .when(F.col("only_ground"), "taxi_only")
         .when(F.col("flew") & (F.col("low") > 2500), "overflight")
     )
