@@ -39,7 +39,7 @@ MODELS = ((12, 2), (24, 2), (48, 3))
 #: Rounds of a trial, share of the known entries that it hides, and the known entries that it takes at least.
 TRIAL_ROUNDS, TRIAL_SHARE, TRIAL_LEAST = 30, 0.1, 48
 #: Rounds after which the vectors and their weights are held, which leaves a contraction.
-HOLD = 2_000
+HOLD = 20_000
 
 
 def impute(series: np.ndarray, window: int | None = None, rank: int | None = None, tolerance: float = 1e-3) -> np.ndarray:

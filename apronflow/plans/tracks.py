@@ -6,7 +6,7 @@ import math
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from apronflow.functions import geo
@@ -17,7 +17,7 @@ from apronflow.operators.upsert import latest_per_key, newest_wins, overwrite
 from apronflow.session import scratch
 from apronflow.sources import envelope, views
 from apronflow.plans.readings import changelog_sql
-from apronflow.sources.tables import readings, table
+from apronflow.sources.tables import distinct_readings, readings, table
 from apronflow.streaming import events, pipelines, retractions
 
 MEASURES = ("lat", "lon", "baro_alt_m", "on_ground", "velocity_ms", "track_deg", "vrate_ms", "category")
@@ -64,6 +64,21 @@ def gap_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("icao24", "session_s").agg(F.max("ts").alias("end_s"), F.count(F.lit(1)).alias("readings"))
 
 
+def flight_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each ping, within its flight (pings at most 90 s apart): degrees turned in the last 480 s and length of the climb that goes on.
+
+    A turn counts at the later of its two pings. Flights are short, so no window is long.
+    """
+    rows = distinct_readings(table(spark, folder, "state_messages"), "track_deg", "vrate_ms", "on_ground").where(F.col("track_deg").isNotNull())
+    rows = sessionize(rows, "icao24", "ts", 90)
+    line = Window.partitionBy("icao24", "session_s").orderBy("ts")
+    rows = rows.withColumn("turn", F.coalesce(F.abs(geo.track_delta(F.lag("track_deg").over(line), F.col("track_deg"))), F.lit(0.0)).cast("decimal(12,4)"))
+    climbs = F.coalesce((F.col("vrate_ms") > 3) & ~F.col("on_ground"), F.lit(False))
+    rows = rows.withColumn("climbs", climbs).withColumn("island", F.count_if(~climbs).over(line))
+    run = F.when(F.col("climbs"), F.count_if(F.col("climbs")).over(Window.partitionBy("icao24", "session_s", "island").orderBy("ts"))).otherwise(0)
+    return rows.select("icao24", "ts", F.sum("turn").over(line.rangeBetween(-480, 0)).cast("double").alias("turned_deg"), run.cast("long").alias("climb_run"))
+
+
 def track_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Kind of each track with eight positions or more, by its last position and whether it was ever in the air."""
     rows = readings(table(spark, folder, "state_messages"), *MEASURES).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).dropDuplicates(["icao24", "ts"])
@@ -170,6 +185,15 @@ def detect_events(spark: SparkSession, folder: str) -> DataFrame:
     return events.detect(readings(table(spark, folder, "state_messages"), "callsign", *MEASURES))
 
 
+def track_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Captured messages through newline-delimited files and back: each with its place in its aircraft's order."""
+    where = _place(spark)
+    raw = table(spark, folder, "state_messages")
+    text = raw.select(F.to_json(F.struct(*[keys.number(c).alias(c) if c in ("lon", "lat", "baro_alt_m", "velocity_ms", "track_deg", "vrate_ms") else F.col(c) for c in envelope.ENVELOPE.names])).alias("value"))
+    text.write.text(where)
+    return envelope.tracks(spark, where).select("icao24", "api_ts", "poll_ts", "place")
+
+
 def _kind(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: detect_events(spark, folder).where(F.col("event_type") == kind)
 
@@ -240,7 +264,7 @@ def sample_tracks() -> list[tuple]:
     return out
 
 
-TOLD = ("event_id", "icao24", "event_type", "airport", "event_ts", "duration_s")
+TOLD = ("event_id", "icao24", "callsign", "event_type", "airport", "event_ts", "duration_s")
 
 
 def detect_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,7 +304,7 @@ def stream_retractions(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        flight_category, haversine_nearest, track_delta, event_ids, dead_reckon, latest_position, bronze_dedupe, gap_sessions, track_scan, upsert_guarded, upsert_partial, anti_loaded_months,
+        flight_category, haversine_nearest, track_delta, event_ids, dead_reckon, latest_position, bronze_dedupe, gap_sessions, flight_sequences, track_files, track_scan, upsert_guarded, upsert_partial, anti_loaded_months,
         alert_changes, envelope_decode, state_vectors, unit_conversion, dq_unique, dq_accepted, dq_checks, detect_events, detect_sample, stream_sample, stream_dedupe, stream_latest, stream_events, stream_changes, stream_retractions,
     )
 } | {"detect_arrival": _kind("arrival"), "detect_holding": _kind("holding"), "detect_goaround": _kind("go_around")}
@@ -296,7 +320,7 @@ _NN = lambda c: f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}"
 _DEDUPE = f"SELECT DISTINCT icao24, ts, lat, lon, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y-%m-%d') AS dt, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%H') AS hr FROM (SELECT {_ID}, lat, lon FROM state_messages WHERE {_PLACED})"
 
 #: What the rules must tell of the sample tracks: kind, begin of the approach or event (its identity), time, duration.
-_SAMPLE = """SELECT substr(sha1(icao24 || '|' || event_type || '|' || start), 1, 16) AS event_id, icao24, event_type, 'KJFK' AS airport, event_ts::BIGINT AS event_ts, duration_s::INTEGER AS duration_s FROM (VALUES
+_SAMPLE = """SELECT substr(sha1(icao24 || '|' || event_type || '|' || start), 1, 16) AS event_id, icao24, 'T1' AS callsign, event_type, 'KJFK' AS airport, event_ts::BIGINT AS event_ts, duration_s::INTEGER AS duration_s FROM (VALUES
   ('t1', 'arrival', 1120, 1300, NULL), ('t2', 'arrival', 1120, 1270, NULL), ('t3', 'holding', 1000, 1000, 600), ('t4', 'go_around', 1240, 1240, NULL)) v(icao24, event_type, start, event_ts, duration_s)"""
 
 SQL = {
@@ -310,6 +334,12 @@ SELECT icao24, {_R('CASE WHEN go THEN lat + degrees(r * cos(radians(track_deg)))
     "bronze_dedupe": _DEDUPE,
     "gap_sessions": f"""WITH r AS (SELECT DISTINCT {_ID} FROM state_messages WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL), g AS (SELECT *, CASE WHEN coalesce(ts - lag(ts) OVER w > 90, true) THEN ts END AS b FROM r WINDOW w AS (PARTITION BY icao24 ORDER BY ts)),
 s AS (SELECT *, max(b) OVER (PARTITION BY icao24 ORDER BY ts) AS session_s FROM g) SELECT icao24, session_s, max(ts) AS end_s, count(*) AS readings FROM s GROUP BY 1, 2""",
+    "track_files": "SELECT icao24, api_ts, poll_ts, row_number() OVER (PARTITION BY icao24 ORDER BY api_ts, poll_ts) AS place FROM state_messages WHERE icao24 IS NOT NULL",
+    "flight_sequences": f"""WITH r AS (SELECT icao24, ts, max(track_deg) AS track_deg, max(vrate_ms) AS vrate_ms, bool_or(on_ground) AS on_ground FROM (SELECT {_ID}, {_NN('track_deg')}, {_NN('vrate_ms')}, on_ground FROM state_messages WHERE icao24 IS NOT NULL AND api_ts IS NOT NULL) GROUP BY 1, 2),
+g AS (SELECT *, CASE WHEN coalesce(ts - lag(ts) OVER w > 90, true) THEN ts END AS b FROM r WHERE track_deg IS NOT NULL WINDOW w AS (PARTITION BY icao24 ORDER BY ts)), s AS (SELECT *, max(b) OVER (PARTITION BY icao24 ORDER BY ts) AS session_s FROM g),
+d AS (SELECT *, ((track_deg - lag(track_deg) OVER w + 180) % 360 + 360) % 360 - 180 AS t, coalesce(vrate_ms > 3 AND NOT on_ground, false) AS climbs FROM s WINDOW w AS (PARTITION BY icao24, session_s ORDER BY ts)),
+i AS (SELECT *, coalesce(abs(t), 0)::DECIMAL(12,4) AS turn, count(*) FILTER (NOT climbs) OVER (PARTITION BY icao24, session_s ORDER BY ts) AS island FROM d)
+SELECT icao24, ts, (sum(turn) OVER (PARTITION BY icao24, session_s ORDER BY ts RANGE BETWEEN 480 PRECEDING AND CURRENT ROW))::DOUBLE AS turned_deg, CASE WHEN climbs THEN count(*) FILTER (climbs) OVER (PARTITION BY icao24, session_s, island ORDER BY ts) ELSE 0 END AS climb_run FROM i""",
     "track_scan": f"""WITH r AS (SELECT DISTINCT {_ID}, lat, lon, on_ground, {_NN('baro_alt_m')} FROM state_messages WHERE {_PLACED}),
 t AS (SELECT icao24, count(*) AS n, arg_max(lat, ts) AS lat, arg_max(lon, ts) AS lon, arg_max(on_ground, ts) AS g, arg_max(coalesce(baro_alt_m, 9e9), ts) AS alt, bool_or(NOT on_ground) AS flew, bool_and(on_ground) AS only_ground,
   min(CASE WHEN NOT on_ground THEN coalesce(baro_alt_m, 9e9) END) AS low, max(ts) - min(ts) AS span_s FROM r GROUP BY 1 HAVING count(*) >= 8),

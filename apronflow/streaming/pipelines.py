@@ -72,3 +72,18 @@ def start_all(states: DataFrame, root: str, every: tuple[str | None, str | None,
         latest_positions(states, live_table(spark, f"{root}/live"), f"{root}/checkpoints/live", every[1]),
         detected_events(states, events_table(spark, f"{root}/events"), f"{root}/checkpoints/events", every[2]),
     ]
+
+
+def run(states: DataFrame, root: str, every: tuple[str | None, str | None, str | None] = ("60 seconds", "10 seconds", "30 seconds")) -> None:
+    """The three streams until one of them ends; the others are stopped, and its error, if any, is raised."""
+    queries = start_all(states, root, every)
+    try:
+        while all(q.isActive for q in queries):
+            states.sparkSession.streams.awaitAnyTermination(5)
+        for q in queries:
+            if not q.isActive and (error := q.exception()) is not None:
+                raise error
+    finally:
+        for q in queries:
+            q.stop()
+        states.sparkSession.streams.resetTerminated()

@@ -5,6 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from apronflow import session
 from apronflow.functions import geo, weather
 from apronflow.operators import late, quality, upsert
 from apronflow.plans import lake, serving
@@ -183,6 +184,25 @@ def test_three_streams_side_by_side(spark, tmp_path):
     assert [r.event_type for r in pipelines.events_table(spark, str(tmp_path / "out" / "events")).read().collect()] == ["arrival"]
 
 
+def test_streams_run_until_one_ends(spark, tmp_path):
+    reports(spark, tmp_path / "in", ("a", 100, 40.0))
+    pipelines.run(envelope.files(spark, str(tmp_path / "in")), str(tmp_path / "out"), (None, "10 seconds", "10 seconds"))
+    assert not spark.streams.active and spark.read.parquet(str(tmp_path / "out" / "archive")).count() == 1
+
+
+def test_checkpoints_need_a_shared_folder_off_local_masters(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isDefined": lambda self: False})()})()})()
+
+    class Session:
+        sparkContext = Context()  # noqa: N815 - the interface's name
+        conf = type("C", (), {"get": lambda self, k, d: d})()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.checkpoint_dir(Session())
+
+
 def test_tracks(spark, tmp_path):
     (tmp_path / "t.json").write_text('{"icao24":"a","api_ts":5,"poll_ts":9}\nrubbish\n\n{"icao24":"a","api_ts":3,"poll_ts":9}\n{"api_ts":1}\n')
     assert sorted((r.icao24, r.place, r.api_ts) for r in envelope.tracks(spark, str(tmp_path)).collect()) == [("a", 1, 3), ("a", 2, 5)]
