@@ -107,24 +107,27 @@ def fillings(counts: np.ndarray, room: int, search: Search) -> list[tuple[tuple[
     below = np.full(room + 1, 0, np.int64)  # the greatest available size at most x
     below[available] = available
     below = np.maximum.accumulate(below)
+    fits, have = below.tolist(), counts[: room + 1].tolist()
     out: list[tuple[tuple[int, ...], int]] = []
     steps = search.steps
     smallest = int(available[0])
 
-    def exact(target: int, top: int, depth: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+    def exact(target: int, top: int, depth: int, last: int, used: int) -> tuple[int, ...] | None:
+        """The first set of at most depth items, none over top, that sums to target; used: items of size last taken already."""
         nonlocal steps
-        if target == 0:
-            yield chosen
-            return
-        s = int(below[min(target, top)])
+        s = fits[min(target, top)]
         while s and steps > 0:
             steps -= 1
             if s * depth < target:  # too small even if all are this large
-                return
-            used = chosen.count(s)
-            if used < counts[s] and (s == target or (depth > 1 and target - s >= smallest)):
-                yield from exact(target - s, s, depth - 1, (*chosen, s))
-            s = int(below[s - 1])
+                return None
+            taken = used if s == last else 0
+            if taken < have[s]:
+                if s == target:
+                    return (s,)
+                if depth > 1 and target - s >= smallest and (more := exact(target - s, s, depth - 1, s, taken + 1)):
+                    return (s, *more)
+            s = fits[s - 1]
+        return None
 
     for waste in range(room + 1):
         target = room - waste
@@ -132,7 +135,7 @@ def fillings(counts: np.ndarray, room: int, search: Search) -> list[tuple[tuple[
             out.append(((), room))
             break
         for depth in (*range(1, search.items + 1), target // smallest):
-            hit = next(exact(target, target, depth, ()), None)
+            hit = exact(target, target, depth, 0, 0)
             if hit:
                 out.append((hit, waste))
                 if len(out) >= search.fillings:
@@ -143,15 +146,15 @@ def fillings(counts: np.ndarray, room: int, search: Search) -> list[tuple[tuple[
         if steps <= 0:
             # what the enumeration has not reached: the largest that fits, again and again
             chosen, left, spare = [], room, counts.copy()
-            s = int(below[left])
+            s = fits[left]
             while s:
                 if spare[s]:
                     spare[s] -= 1
                     chosen.append(s)
                     left -= s
-                    s = int(below[min(left, s)]) if left else 0
+                    s = fits[min(left, s)] if left else 0
                 else:
-                    s = int(below[s - 1])
+                    s = fits[s - 1]
             out.append((tuple(chosen), left))
             break
     return sorted(out, key=lambda x: x[1])
