@@ -1,5 +1,6 @@
 """Functions at their boundaries, parameters, sources and sinks."""
 
+import random
 import zipfile
 
 import pytest
@@ -184,6 +185,23 @@ def test_three_streams_side_by_side(spark, tmp_path):
     assert [r.event_type for r in pipelines.events_table(spark, str(tmp_path / "out" / "events")).read().collect()] == ["arrival"]
 
 
+def test_a_broken_write_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    ddl = "k string, v long"
+    held = KeyedTable(spark, str(tmp_path / "t"), ddl, ["k"], lambda held, batch: upsert.newest_wins(held, batch, ["k"], "v"), buckets=4)
+    held.upsert(spark.createDataFrame([(f"k{i}", 1) for i in range(20)], ddl))
+
+    def breaks(manifest):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(held, "_publish", breaks)
+        with pytest.raises(OSError, match="lost"):
+            held.upsert(spark.createDataFrame([("k1", 9), ("new", 9)], ddl))
+    assert {r.k: r.v for r in held.read().collect()} == {f"k{i}": 1 for i in range(20)}
+    held.upsert(spark.createDataFrame([("k2", 5)], ddl))
+    assert {r.k: r.v for r in held.read().collect()} == {f"k{i}": 5 if i == 2 else 1 for i in range(20)}
+
+
 def test_streams_run_until_one_ends(spark, tmp_path):
     reports(spark, tmp_path / "in", ("a", 100, 40.0))
     pipelines.run(envelope.files(spark, str(tmp_path / "in")), str(tmp_path / "out"), (None, "10 seconds", "10 seconds"))
@@ -266,3 +284,28 @@ def test_retraction_stream_gives_the_changelog_of_the_batch(spark, tmp_path):
     assert key(spark.table("deltas")) == key(whole) and len(key(whole)) == 10
     lost = lambda df: {(r.icao24, r.period_s): r.n for r in df.where("sign = 0").groupBy("icao24", "period_s").agg(F.sum("n").alias("n")).collect()}
     assert lost(spark.table("deltas")) == lost(whole) == {("a", 0): 2}
+
+
+def test_retraction_stream_on_random_arrivals(spark, tmp_path):
+    """Records of three aircraft in order of arrival, copies among them, cut into batches anywhere: the changelog is the batch's."""
+    r = random.Random(11)
+    ddl = "icao24 string, record string, event_s long, arrival_s long"
+    raw = []
+    for i in range(400):
+        event = r.randrange(1, 4 * 3600)
+        late_s = r.choice([5, 60, 3000, 9000, 9000, 20_000, 30_000]) + r.randrange(0, 40)
+        raw.append((r.choice("abc"), str(i), event, event + late_s))
+    raw += [(k, n, e, a + r.choice([0, 0, 3, 900])) for k, n, e, a in r.sample(raw, 120)]
+    raw.sort(key=lambda x: (x[3], x[1]))
+    cuts = sorted(r.sample(range(1, len(raw)), 6))
+    parts = [raw[i:j] for i, j in zip([0, *cuts], [*cuts, len(raw)], strict=True)] + [[("z", "end", 900_000, 900_000)]]
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, ddl).coalesce(1).write.parquet(str(tmp_path / f"in{i}"))
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in*"))
+    out = retractions.deltas(stream).writeStream.outputMode("update").format("memory").queryName("random_deltas").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    out.awaitTermination()
+    whole = late.changes(spark.createDataFrame(raw, ddl), ["record", "event_s"], ["icao24"])
+    key = lambda df: sorted((x.icao24, x.period_s, x.version, x.at_s, x.sign, x.n) for x in df.where("sign <> 0 AND icao24 <> 'z'").collect())
+    assert key(spark.table("random_deltas")) == key(whole) and len(key(whole)) > 100
+    lost = lambda df: {(x.icao24, x.period_s): x.n for x in df.where("sign = 0").groupBy("icao24", "period_s").agg(F.sum("n").alias("n")).collect()}
+    assert lost(spark.table("random_deltas")) == lost(whole) != {}
