@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,28 @@ def write_clustered(df: DataFrame, path: str, by: str, *partitions: str) -> None
     """Partitioned rewrite with rows of like `by` together, so that a scan skips files and row groups by their statistics."""
     keys = [*partitions, by]
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+
+
+def data_files(spark: SparkSession, path: str) -> int:
+    """Parquet files below a path."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found, n = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True), 0
+    while found.hasNext():
+        n += found.next().getPath().getName().endswith(".parquet")
+    return n
+
+
+def compact(spark: SparkSession, path: str, by: str, *partitions: str) -> dict[str, int]:
+    """Rewrites a table clustered by a column and swaps it in; gives rows, files_before and files_after.
+
+    The table is complete at every moment but between the two renames; the version before is deleted
+    only after the swap. Run it while nobody writes the table.
+    """
+    at = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, before = path.rstrip("/"), data_files(spark, path)
+    write_clustered(spark.read.parquet(path), f"{path}__next", by, *partitions)
+    if not (fs.rename(at(path), at(f"{path}__last")) and fs.rename(at(f"{path}__next"), at(path))):
+        raise OSError(f"{path} could not be swapped; its rows are in {path}__last")
+    fs.delete(at(f"{path}__last"), True)
+    return {"rows": spark.read.parquet(path).count(), "files_before": before, "files_after": data_files(spark, path)}

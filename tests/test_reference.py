@@ -202,6 +202,15 @@ def test_a_broken_write_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch)
     assert {r.k: r.v for r in held.read().collect()} == {f"k{i}": 5 if i == 2 else 1 for i in range(20)}
 
 
+def test_compaction(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(600).selectExpr("id", "id % 3 AS year", "concat('d', id % 7) AS dest")
+    df.repartition(12).write.partitionBy("year").parquet(path)
+    told = upsert.compact(spark, path, "dest", "year")
+    assert told["rows"] == 600 and told["files_after"] < told["files_before"] == 36
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "year", "dest").collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_streams_run_until_one_ends(spark, tmp_path):
     reports(spark, tmp_path / "in", ("a", 100, 40.0))
     pipelines.run(envelope.files(spark, str(tmp_path / "in")), str(tmp_path / "out"), (None, "10 seconds", "10 seconds"))
