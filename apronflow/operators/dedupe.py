@@ -56,7 +56,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Column, least: bool =
 
     One hash aggregation carries the row along, so each task first reduces its own rows and a hot key
     sends one row per task through the shuffle. A column that has no fixed width (a text, say) is
-    carried as its 64-bit hash and looked up afterwards among the distinct values of that column alone.
+    carried as two hashes, 96 bits, and looked up afterwards among the distinct values of that column alone.
 
     order must tell rows of different content apart (end it with a unique column or a fingerprint);
     then equal rows are all that can tie. Null keys are a key of their own.
@@ -64,14 +64,15 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Column, least: bool =
     kinds = dict(df.dtypes)
     rest = [c for c in df.columns if c not in keys]
     texts = [c for c in rest if kinds[c] not in FIXED and not kinds[c].startswith("decimal")]
-    by, hash_, value = spare(df, "__order", "__hash", "__value")
-    hashed = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(c))
-    rows = df.select(*keys, *[(hashed(c) if c in texts else F.col(c)).alias(c) for c in rest], order.alias(by))
+    by, value, *more = spare(df, "__order", "__value", *[f"__{side}{i}" for i in range(len(texts)) for side in ("own", "told")])
+    second = dict(zip(texts, more[::2], strict=True))
+    there = lambda c, h: F.when(F.col(c).isNotNull(), h(c))
+    rows = df.select(*keys, *[(there(c, F.xxhash64) if c in texts else F.col(c)).alias(c) for c in rest], *[there(c, F.hash).alias(n) for c, n in second.items()], order.alias(by))
     pick = F.min_by if least else F.max_by
-    best = rows.groupBy(*keys).agg(*[pick(c, by).alias(c) for c in rest], F.count(F.lit(1)).alias(by))
-    for c in texts:
-        values = df.where(F.col(c).isNotNull()).select(F.xxhash64(c).alias(hash_), F.col(c).alias(value)).distinct()
-        best = best.join(values, F.col(c) == F.col(hash_), "left").withColumn(c, F.col(value)).drop(hash_, value)
+    best = rows.groupBy(*keys).agg(*[pick(c, by).alias(c) for c in (*rest, *second.values())], F.count(F.lit(1)).alias(by))
+    for c, told in zip(texts, more[1::2], strict=True):
+        values = df.where(F.col(c).isNotNull()).select(F.xxhash64(c).alias(told), F.hash(c).alias(f"{told}_2"), F.col(c).alias(value)).distinct()
+        best = best.join(values, (F.col(c) == F.col(told)) & (F.col(second[c]) == F.col(f"{told}_2")), "left").withColumn(c, F.col(value)).drop(told, f"{told}_2", value)
     return best.select(*df.columns)
 
 
