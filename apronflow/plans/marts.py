@@ -33,7 +33,9 @@ def weather_hourly(spark: SparkSession, folder: str) -> DataFrame:
     # one row of bounds beside every alert: the scalar subqueries keep it out of any join
     alerts = views.weather_alerts(spark, folder).withColumn("lo", span.select("lo").scalar()).withColumn("hi", span.select("hi").scalar())
     active = asof.periods_covered(alerts, "effective_ts", "ends_ts", "lo", "hi", HOUR).where(F.col("airport").isin(*geo.AIRPORTS))
-    names = active.groupBy("airport", F.col("period_ts").alias("hour_ts")).agg(F.array_join(F.array_sort(F.collect_set("event")), ", ").alias("active_alert_types"))
+    # an hour whose alerts are all nameless names none, as one without alerts does
+    named = active.where(F.col("event").isNotNull())
+    names = named.groupBy("airport", F.col("period_ts").alias("hour_ts")).agg(F.array_join(F.array_sort(F.collect_set("event")), ", ").alias("active_alert_types"))
     return by_hour.join(names, ["airport", "hour_ts"], "left")
 
 
