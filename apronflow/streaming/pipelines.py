@@ -12,6 +12,15 @@ from apronflow.streaming.tables import KeyedTable
 
 LIVE_DDL = "icao24 string, callsign string, lat double, lon double, baro_alt_m double, on_ground boolean, velocity_ms double, track_deg double, vrate_ms double, category int, updated_at timestamp"
 UPDATED = ["duration_s", "details"]
+#: State in RocksDB, outside the heap and bounded, published as compressed changes; no space is set aside ahead of its use.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def _trigger(writer, every: str | None):
@@ -20,14 +29,21 @@ def _trigger(writer, every: str | None):
 
 def deduplicated(states: DataFrame, lateness: str = "2 minutes") -> DataFrame:
     """Reports with a position, each identifier once; the state of seen identifiers ends with the watermark."""
+    for key, value in STATE.items():
+        states.sparkSession.conf.set(key, value)
     placed = states.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     return placed.withWatermark("api_time", lateness).dropDuplicatesWithinWatermark(["icao24", "api_ts"])
 
 
 def archive(states: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append-only Parquet by day and hour of the event."""
-    rows = deduplicated(states).withColumn("dt", F.date_format("api_time", "yyyy-MM-dd")).withColumn("hr", F.date_format("api_time", "HH"))
-    writer = rows.writeStream.queryName("archive").format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("dt", "hr").outputMode("append")
+    """Append-only Parquet by day and hour of the event.
+
+    The rows of an hour are brought together before they are written, so a batch adds one file to each of its
+    hours, not one for each task that holds state. api_time is api_ts as a timestamp and not carried along.
+    """
+    rows = deduplicated(states).drop("api_time").repartition(F.floor(F.col("api_ts") / 3600)).withColumn("api_time", F.timestamp_seconds("api_ts"))
+    rows = rows.withColumn("dt", F.date_format("api_time", "yyyy-MM-dd")).withColumn("hr", F.date_format("api_time", "HH"))
+    writer = rows.writeStream.queryName("archive").format("parquet").option("compression", "zstd").option("path", path).option("checkpointLocation", checkpoint).partitionBy("dt", "hr").outputMode("append")
     return _trigger(writer, every).start()
 
 

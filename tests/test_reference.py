@@ -239,6 +239,26 @@ def reports(spark, where, *rows):
     spark.createDataFrame([(3, t, k, None, -73.0, lat, None, False, None, None, None, None) for k, t, lat in rows], envelope.ENVELOPE).coalesce(1).write.parquet(str(where))
 
 
+def test_archive_has_a_file_per_hour_of_a_batch(spark, tmp_path):
+    """However many tasks hold the state, which lies in RocksDB; copies are dropped, also those of a later batch."""
+    rows = [(f"a{i}", 3600 * h + 60 * (i % 60), 40.0) for h in (1, 2, 3) for i in range(80)]
+    reports(spark, tmp_path / "in" / "0", *rows, *rows[:40])
+    archive = tmp_path / "archive"
+
+    def run():
+        pipelines.archive(envelope.files(spark, str(tmp_path / "in" / "*")), str(archive), str(tmp_path / "offsets")).awaitTermination()
+        back = spark.read.parquet(str(archive)).collect()
+        assert all((str(r.dt), int(r.hr), r.api_time.minute) == ("1970-01-01", r.api_ts // 3600, r.api_ts // 60 % 60) for r in back)
+        return sorted((r.icao24, r.api_ts, r.lat) for r in back)
+
+    assert run() == sorted(rows)
+    assert [len(list(d.glob("*.parquet"))) for d in sorted(archive.glob("dt=*/hr=*"))] == [1, 1, 1]
+    assert "RocksDBStateStoreProvider" in (tmp_path / "offsets" / "offsets" / "0").read_text()
+    new = ("b", 4 * 3600, 41.0)
+    reports(spark, tmp_path / "in" / "1", max(rows, key=lambda r: r[1]), new)
+    assert run() == sorted([*rows, new])
+
+
 def test_live_stream_from_fresh_checkpoints(spark, tmp_path):
     """The same rows again change nothing; new rows under a second checkpoint, whose batches count from 0 again, are kept."""
     held = pipelines.live_table(spark, str(tmp_path / "live"))
